@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time (one longer text is a piece of its own).
-PIECE_BYTES = 3 << 20
+PIECE_BYTES = 3 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)

@@ -30,6 +30,8 @@ from .shared import components
 #: Size of the table of frequent shingles that all tasks hold (12 bytes each); it only shapes the order.
 FREQUENT = 400_000
 BLOOM_WORDS = 1 << 18
+#: Shingles that one task counts at a time before it passes on the repeated ones.
+COUNTED = 2_000_000
 
 
 def _need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -41,17 +43,24 @@ def _frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (sorted) and frequency class of the most frequent shingles of the whole corpus."""
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def often(values: list[np.ndarray]) -> pa.RecordBatch:
+            value = np.sort(np.concatenate(values))
+            at = np.flatnonzero(np.r_[True, value[1:] != value[:-1]][: len(value)])
+            count = np.diff(np.r_[at, len(value)])
+            keep = count >= 3
+            return pa.RecordBatch.from_arrays([pa.array(value[at[keep]].view(np.int64)), pa.array(count[keep].astype(np.int64))], ["h", "c"])
+
+        held: list[np.ndarray] = []
         for batch in batches:
-            for _, _, buf, off in arrays.text_pieces(batch, "text", 4 * arrays.PIECE_BYTES):
+            for _, _, buf, off in arrays.text_pieces(batch, "text"):
                 low = arrays.LOWER[buf]
                 starts, ends, _ = arrays.words(low, off)
-                value = np.sort(arrays.window_hash(arrays.Rolling(low).of(starts, ends), k))
-                if not len(value):
-                    continue
-                at = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-                count = np.diff(np.r_[at, len(value)])
-                often = count >= 3
-                yield pa.RecordBatch.from_arrays([pa.array(value[at[often]].view(np.int64)), pa.array(count[often].astype(np.int64))], ["h", "c"])
+                held.append(arrays.window_hash(arrays.Rolling(low).of(starts, ends), k))
+                if sum(map(len, held)) > COUNTED:
+                    yield often(held)
+                    held = []
+        if held:
+            yield often(held)
 
     counts = shared.save(docs.select("text").mapInArrow(repeated, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
     level = F.floor(F.log2("c")).cast("int")
