@@ -29,7 +29,6 @@ from .shared import components
 
 #: Size of the table of frequent shingles that all tasks hold (12 bytes each); it only shapes the order.
 FREQUENT = 400_000
-BLOOM_WORDS = 1 << 18
 #: Shingles that one task counts at a time before it passes on the repeated ones.
 COUNTED = 2_000_000
 
@@ -188,36 +187,10 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.nulls(len(sig[s]), pa.int64()), pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32))], names)
 
 
-def _bloom(ids: DataFrame):
-    """Bits of a Bloom filter of fixed size over column ``id``; false hits only cost time."""
-    spark = ids.sparkSession
-    at = [F.pmod(F.xxhash64("id", F.lit(s)), F.lit(BLOOM_WORDS * 64)) for s in (1, 2)]
-    rows = ids.select(F.explode(F.array(*at)).alias("bit")).groupBy((F.col("bit") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("v")).toArrow()
-    bits = np.zeros(BLOOM_WORDS, np.int64)
-    bits[rows["w"].to_numpy()] = rows["v"].to_numpy()
-    return spark.sparkContext.broadcast(bits)
-
-
-def _maybe(docs: DataFrame, bloom) -> DataFrame:
-    """The rows of ``docs`` whose id the filter holds, decided before any text is decoded in Python."""
-    def has(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bloom.value
-        for batch in batches:
-            one, two = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            hit = np.ones(batch.num_rows, bool)
-            for at in (one, two):
-                hit &= (bits[at >> 6] >> (at & 63)) & 1 == 1
-            if hit.any():
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:2]], ["doc_id", "text"])
-
-    at = [F.pmod(F.xxhash64("doc_id", F.lit(s)), F.lit(BLOOM_WORDS * 64)).alias(f"at{s}") for s in (1, 2)]
-    return docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", *at).mapInArrow(has, "doc_id long, text string")
-
-
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent: int, fragments: int) -> DataFrame:
     """The pairs (a, b, na, nb) of signatures whose exact overlap, summed over fragments, reaches the threshold."""
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    bloom = _bloom(nodes.join(wanted, "sig").select(F.col("least").alias("id")))
+    bloom = shared.bloom(nodes.join(wanted, "sig").select(F.col("least").alias("id")))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,7 +220,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
             out = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["a", "b", "na", "nb", "part"])
 
-    parts = _maybe(docs, bloom).mapInArrow(segments, "sig long, frag int, part binary")
+    parts = shared.maybe(docs.filter(F.col("doc_id").isNotNull()), bloom).mapInArrow(segments, "sig long, frag int, part binary")
     parts = parts.join(wanted, "sig").dropDuplicates(["sig", "frag"])
     parts = shared.save(parts, "segments")
     split = pairs.select("a", "b", "na", "nb", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("frag"))

@@ -8,12 +8,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
 
+#: 64-bit words of the filters of ``bloom``: their size is fixed, whatever they hold.
+BLOOM_WORDS = 1 << 18
+
 _own: dict[str, str] = {}
 
 
@@ -81,3 +88,34 @@ def components(edges: DataFrame) -> DataFrame:
             break
         mark = tuple(seen)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())
+
+
+def _bits(column: str) -> list:
+    return [F.pmod(F.xxhash64(column, F.lit(s)), F.lit(BLOOM_WORDS * 64)) for s in (1, 2)]
+
+
+def bloom(ids: DataFrame):
+    """A broadcast Bloom filter of fixed size over column ``id``; a false hit only costs time."""
+    bit = ids.select(F.explode(F.array(*_bits("id"))).alias("bit"))
+    rows = bit.groupBy((F.col("bit") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("v")).toArrow()
+    bits = np.zeros(BLOOM_WORDS, np.int64)
+    bits[rows["w"].to_numpy()] = rows["v"].to_numpy()
+    return ids.sparkSession.sparkContext.broadcast(bits)
+
+
+def maybe(docs: DataFrame, held, wanted: bool = True) -> DataFrame:
+    """(doc_id, text) of the rows whose doc_id the filter may hold, or surely does not hold; texts pass as they are."""
+
+    def has(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
+        for batch in batches:
+            hit = np.ones(batch.num_rows, bool)
+            for i in (2, 3):
+                at = batch.column(i).to_numpy(zero_copy_only=False)
+                hit &= (bits[at >> 6] >> (at & 63)) & 1 == 1
+            hit = hit if wanted else ~hit
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:2]], ["doc_id", "text"])
+
+    one, two = _bits("doc_id")
+    return docs.select("doc_id", "text", one.alias("one"), two.alias("two")).mapInArrow(has, "doc_id long, text string")
