@@ -93,7 +93,9 @@ class Rolling:
     def __init__(self, buf: np.ndarray):
         self.n = len(buf)
         self.sums = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * _power(_BASE, self.n), out=self.sums[1:])
+        np.take(_BYTE, buf, out=self.sums[1:])
+        self.sums[1:] *= _power(_BASE, self.n)
+        np.cumsum(self.sums[1:], out=self.sums[1:])
         self.back = _power(_INV, self.n + 1)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

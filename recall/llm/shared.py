@@ -52,8 +52,14 @@ def forget(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Bytes of an Arrow batch that go to a Python worker at a time (a longer row is a batch of its own).
+BATCH_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
+    """Make the package importable on executors, and bound batches by bytes: rows here hold whole texts."""
     session.ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def parts(spark: SparkSession) -> int:

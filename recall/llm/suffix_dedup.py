@@ -80,7 +80,7 @@ def _collect(docs: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, buf, off in arrays.text_pieces(batch, "text", 4 * arrays.PIECE_BYTES):
+            for a, b, buf, off in arrays.text_pieces(batch, "text", 3 * arrays.PIECE_BYTES):
                 ids, ver = _versions(batch, a, b, buf, off)
                 row, first, many, h, s = _snippets(buf, off, length)
                 if not len(row):
