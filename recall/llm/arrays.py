@@ -7,13 +7,19 @@ Null texts are read as empty ones.  A single text is never cut, however long it
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+with contextlib.suppress(OSError, AttributeError):  # glibc: give large arrays back to the system when freed
+    ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 19)
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Bytes of text handled at a time (one longer text is a piece of its own).
-PIECE_BYTES = 3 << 19
+PIECE_BYTES = 3 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)

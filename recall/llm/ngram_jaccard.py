@@ -30,7 +30,7 @@ from .shared import components
 #: Size of the table of frequent shingles that all tasks hold (12 bytes each); it only shapes the order.
 FREQUENT = 400_000
 #: Shingles that one task counts at a time before it passes on the repeated ones.
-COUNTED = 2_000_000
+COUNTED = 1_500_000
 
 
 def _need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -110,7 +110,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
         turn = 0
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            for a, b, buf, off in arrays.text_pieces(batch, "text", 3 * arrays.PIECE_BYTES):
+            for a, b, buf, off in arrays.text_pieces(batch, "text", 2 * arrays.PIECE_BYTES):
                 row, place, value = _ordered(buf, off, k, h, l)
                 n = np.bincount(row, minlength=b - a).astype(np.int64)
                 first = np.cumsum(n) - n
