@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .ngram_jaccard import ngram_jaccard
+from .perplexity import perplexity_filter
 from .suffix_dedup import suffix_dedup
 
 
@@ -14,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_filter(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +28,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_perplexity": op5_perplexity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
