@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language_id import language_id
 from .ngram_jaccard import ngram_jaccard
 from .perplexity import perplexity_filter
 from .suffix_dedup import suffix_dedup
@@ -27,10 +28,15 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_perplexity": op5_perplexity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
