@@ -32,8 +32,8 @@ from .suffix import common_prefixes, suffix_array
 GRAM = 24
 #: Bytes of text in one suffix array, a longer group of one minimizer aside.
 SHARD_BYTES = 1 << 20
-#: Different snippets of one minimizer that one shard takes.
-HOT = 5000
+#: Different snippets of one minimizer that one shard takes (3.5 MB of text for strings of 100 bytes).
+HOT = 20_000
 _LAST = 2**63 - 1
 
 _DOC = np.dtype([("doc", "<i8"), ("ver", "<i8"), ("cnt", "<u4")])
