@@ -9,9 +9,9 @@ prefixes (an upper bound of the whole overlap follows and drops most pairs), the
 sets (the exact overlap).
 
 Large groups.  Documents with equal sets are one node.  In a bucket of one shingle every member is first
-compared with one leader only, so a group of m near copies costs m comparisons; once its members are known
-to be connected no pair inside it is made.  Only pairs that cross components are then enumerated, and all of
-those are, so the components are exact.
+compared with a few leaders only, then each with the few it shares most with, so a group of m near copies costs
+a multiple of m comparisons; once members are known to be connected no pair of them is made.  Only pairs that
+cross components are then compared, and all of those are, so the components are exact.
 """
 
 from __future__ import annotations
@@ -29,6 +29,14 @@ from .shared import components
 
 #: Size of the table of frequent shingles that all tasks hold (12 bytes each); it only shapes the order.
 FREQUENT = 400_000
+#: Members of the largest component of a bucket that all others are compared with in a round.
+LEADERS = 3
+#: Pairs of a member that are tried before all of them are.
+TOP = 3
+#: Fragments of the whole sets of compared documents.
+PARTS = 2
+#: Members of a bucket that one task compares at a time.
+CELL = 2000
 #: Shingles that one task counts at a time before it passes on the repeated ones.
 COUNTED = 1_500_000
 
@@ -241,7 +249,92 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(fits & (F.col("c") + F.greatest(need("na"), need("nb")) - 1 >= alpha))
 
 
-def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 4) -> DataFrame:
+def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
+    """All pairs (a, b, na, nb, c) of different components that share enough prefix shingles to be possible links.
+
+    ``live`` holds every shingle that two components share.  A row takes along all its shared shingles, so the
+    common ones of two members are counted where they meet; a pair is passed on only in the bucket of its least
+    common shingle.  With ``top``, only the pairs most likely to be links: of each member its ``top`` pairs with
+    the most common shingles in a bucket.  Buckets of over ``CELL`` members are cut into cells of two blocks each.
+    """
+    lists = live.groupBy("sig").agg(F.collect_list("token").alias("own"))
+    blocks = F.ceil(F.col("m") / CELL).cast("int")
+    block = F.pmod(F.xxhash64("sig"), blocks).cast("int")
+    rows = live.join(lists, "sig").select("token", "sig", "n", "comp", "own", block.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "sig", "n", "comp", "own", "mine")
+    rows = rows.repartition(shared.parts(live.sparkSession), "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+
+    def possible(na, nb, c):
+        need = (na + nb) * percent
+        alpha = -(-need // (100 + percent))
+        fits = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
+        return fits & (c + np.maximum(_need(na, percent), _need(nb, percent)) - 1 >= alpha)
+
+    def compare(token, lo, hi, sig, n, comp, own, size, mine):
+        m = len(sig)
+        who = np.repeat(np.arange(m), size)
+        value, at, count = np.unique(own, return_inverse=True, return_counts=True)
+        place = np.cumsum(count > 1) - 1
+        keep = count[at] > 1
+        value, at, who = value[count > 1], place[at[keep]], who[keep]
+        common = np.zeros((m, m), np.float32)
+        before = np.zeros((m, m), np.float32)
+        for i in range(0, len(value), 2048):
+            part = np.zeros((m, min(2048, len(value) - i)), np.float32)
+            mine_ = (at >= i) & (at < i + 2048)
+            part[who[mine_], at[mine_] - i] = 1
+            common += part @ part.T
+            early = value[i : i + 2048] < token
+            if early.any():
+                part = part[:, early]
+                before += part @ part.T
+        ok = (comp[:, None] != comp[None, :]) & (before == 0) & possible(n[:, None], n[None, :], common.astype(np.int64))
+        if lo != hi:
+            ok &= mine[:, None] != mine[None, :]
+        if top and m > top:
+            best = np.argpartition(np.where(ok, -common, 1), top, axis=1)[:, :top]
+            near = np.zeros_like(ok)
+            near[np.arange(m)[:, None], best] = True
+            ok &= near | near.T
+        a, b = np.nonzero(ok & (sig[:, None] < sig[None, :]))
+        return sig[a], sig[b], n[a], n[b], common[a, b].astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups() -> Iterator[list]:
+            held: list[pa.RecordBatch] = []
+            last = None
+            for batch in batches:
+                key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], 1)
+                cut = np.flatnonzero(np.any(key[1:] != key[:-1], 1)) + 1
+                for i, j in zip(np.r_[0, cut].tolist(), np.r_[cut, len(key)].tolist(), strict=True):
+                    now = tuple(key[i])
+                    if held and now != last:
+                        yield held
+                        held = []
+                    held.append(batch.slice(i, j - i))
+                    last = now
+            if held:
+                yield held
+
+        out: list[tuple] = []
+        for held in groups():
+            token, lo, hi = (held[0].column(i)[0].as_py() for i in range(3))
+            sig, n, comp, mine = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]).astype(np.int64) for i in (3, 4, 5, 7))
+            if len(sig) < 2 or (comp == comp[0]).all():
+                continue
+            own = np.concatenate([x.column(6).flatten().to_numpy() for x in held])
+            size = np.concatenate([x.column(6).value_lengths().to_numpy(zero_copy_only=False) for x in held])
+            out.append(compare(token, lo, hi, sig, n, comp, own, size, mine))
+            if sum(len(x[0]) for x in out) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "na", "nb", "c"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "na", "nb", "c"])
+
+    return rows.mapInArrow(run, "a long, b long, na long, nb long, c long")
+
+
+def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 3) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two texts are linked when ``100 * intersection >= percent * union`` of their sets of distinct ``k``-word
@@ -265,36 +358,35 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int
     labels = None
     links: list[DataFrame] = []
     tried: list[DataFrame] = []
+    now = tokens.withColumn("comp", F.col("sig"))
     for turn in range(rounds + 1):
-        if labels is None:
-            now = tokens.withColumn("comp", F.col("sig"))
-        else:
-            now = tokens.join(labels, tokens["sig"] == labels["node"], "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("comp"))
-        per = now.groupBy("token", "comp").agg(F.count("*").alias("s"), F.min(F.struct(F.xxhash64("sig", F.lit(turn)), "sig", "n")).alias("lead"))
-        per = per.groupBy("token").agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"), F.min("lead").alias("lead")).filter(F.col("comps") > 1)
-        per = shared.save(per.select("token", "m", "sq", F.col("lead.sig").alias("a"), F.col("lead.n").alias("na")), "buckets")
+        leads = [F.max(F.struct(F.xxhash64("sig", F.lit(LEADERS * turn + i)).alias("order"), "sig", "n")).alias(f"lead{i}") for i in range(LEADERS)]
+        per = now.groupBy("token", "comp").agg(F.count("*").alias("s"), *leads).groupBy("token")
+        per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"), F.array(*(F.max_by(f"lead{i}", F.struct("s", f"lead{i}")) for i in range(LEADERS))).alias("leads"))
+        per = shared.save(per.filter(F.col("comps") > 1).select("token", "m", "sq", "leads"), "buckets")
         cross, members = per.agg(F.sum((F.col("m") * F.col("m") - F.col("sq")) / 2), F.sum("m")).first()
         if not cross:
             break
+        live = shared.save(now.join(per.select("token", "m"), "token"), "live")
         last = cross <= 4 * members or turn == rounds
-        if last:
-            live = shared.save(now.join(per.select("token"), "token"), "live")
-            x = live.select("token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            y = live.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
+        if turn or last:
+            pairs = _across(live, percent, None if last else TOP)
         else:
-            lead = per.select("token", "a", "na")
-            comp = now.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"))
-            pairs = comp.join(lead, "token").filter(F.col("a") != F.col("b"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-        pairs = _possible(pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent)
+            lead = per.select("token", F.explode(F.array_distinct(F.transform("leads", lambda x: F.struct(x["sig"].alias("a"), x["n"].alias("na"))))).alias("l")).select("token", "l.a", "l.na")
+            pairs = live.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")).join(lead, "token").filter(F.col("a") != F.col("b"))
+            low = F.col("a") < F.col("b")
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(low, F.col("nb")).otherwise(F.col("na")).alias("nb"))
+            pairs = _possible(pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent)
         for old in tried:
             pairs = pairs.join(old.select("a", "b"), ["a", "b"], "left_anti")
         pairs = shared.save(pairs, "pairs")
         if not pairs.isEmpty():
             tried.append(pairs)
-            links.append(_verified(docs, nodes, pairs, k, percent, 8))
+            links.append(_verified(docs, nodes, pairs, k, percent, PARTS))
             labels = shared.save(components(reduce(DataFrame.union, [x.select("a", "b") for x in links])), "labels")
+            now = live.select("token", "sig", "n").join(labels, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("comp"))
+        else:
+            now = live.select("token", "sig", "n", "comp")
         shared.forget(per)
         if last:
             break
