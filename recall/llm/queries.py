@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language_id import language_id
 from .ngram_jaccard import ngram_jaccard
+from .ordinal import quality_classifier
 from .perplexity import perplexity_filter
 from .suffix_dedup import suffix_dedup
 
@@ -20,6 +21,10 @@ def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_filter(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_perplexity": op5_perplexity,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
