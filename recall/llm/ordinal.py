@@ -2,12 +2,13 @@
 
 Grade g of a text follows ``P(grade <= g) = sigmoid(cut_g - w . x)`` with increasing cuts and one weight vector
 ``w`` over hashed features of the whole text: its words, their beginnings, and how common each shape of token
-(case, digits, trailing mark) and immediate repetition is.  A feature is present or absent, so one telling word
-counts as much in a long text as in a short one.
+(case, digits, trailing mark) and immediate repetition is.  ``x`` marks the selected features that a text has,
+scaled to length 1, so one telling word counts as much in a long text as in a short one.
 
 Training reads at most about ``SAMPLE`` labelled texts, taken by a hash of doc_id.  Spark counts features by
-grade; those that tell grades apart (by z-score, at most ``FEATURES``) enter the fit, which runs on the driver
-over the lists of selected features only.
+grade; those that are much more frequent in lower grades (by z-score, at most ``FEATURES``) enter the fit, which
+runs on the driver over the lists of selected features only.  Their weights are at most 0: a feature is a sign
+of a defect, and the number of ordinary words of a text neither helps nor harms it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from .language_id import _words
 SAMPLE = 20_000
 WIDTH = 1 << 20
 FEATURES = 8192
-LEAST_COUNT, LEAST_Z = 4, 6.0
+LEAST_COUNT, LEAST_Z = 4, 4.5
+#: A feature must be so many times as frequent below a cut as above it.
+LIFT = 3.0
 #: Bytes of the beginnings of words that are features, besides whole words.
 BEGINNINGS = (4, 6)
 GRADES = 3
@@ -101,30 +104,31 @@ def _chosen(sample: DataFrame) -> np.ndarray:
             a, b = c[:, :cut].sum(1), c[:, cut:].sum(1)
             rate = (a + b) / (below + above)
             z = (a / below - b / above) / np.sqrt(np.maximum(rate * (1 - rate), 1e-9) * (1 / below + 1 / above))
-            best = np.maximum(best, np.abs(z))
+            best = np.maximum(best, np.where(a / below >= LIFT * b / above, z, 0.0))
     order = np.lexsort((got["feature"].to_numpy(), -best))[:FEATURES]
     return np.sort(got["feature"].to_numpy()[order[best[order] >= LEAST_Z]])
 
 
-def fit(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int, steps: int = 400, rate: float = 0.1, shrink: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int, steps: int = 500, rate: float = 0.2, shrink: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and cuts by gradient steps (Adam) on the mean log loss plus ``shrink`` / 2n of squared weights."""
     n = len(grades)
     share = np.cumsum(np.bincount(grades, minlength=GRADES) + 1.0)[:-1] / (n + GRADES)
     cut = np.log(share / (1 - share))
     base, gap = cut[0], np.log(np.maximum(np.diff(cut), 1e-3))
+    unit = 1 / np.sqrt(np.maximum(1, np.bincount(rows, minlength=n)))
     x = np.concatenate([np.zeros(width), [base], gap])
     m, v = np.zeros_like(x), np.zeros_like(x)
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for t in range(1, steps + 1):
         w, cuts = x[:width], x[width] + np.concatenate([[0], np.cumsum(np.exp(x[width + 1 :]))])
-        score = np.bincount(rows, weights=w[features], minlength=n)
+        score = np.bincount(rows, weights=w[features], minlength=n) * unit
         up = np.where(grades < GRADES - 1, sig(cuts[np.minimum(grades, GRADES - 2)] - score), 1.0)
         down = np.where(grades > 0, sig(cuts[np.maximum(grades - 1, 0)] - score), 0.0)
         p = np.maximum(up - down, 1e-12)
         du, dd = up * (1 - up) / p, down * (1 - down) / p
         g_score = (du - dd) / n
         g = np.zeros_like(x)
-        g[:width] = np.bincount(features, weights=g_score[rows], minlength=width) + shrink * w / n
+        g[:width] = np.bincount(features, weights=(g_score * unit)[rows], minlength=width) + shrink * w / n
         g_cut = np.zeros(GRADES - 1)
         np.add.at(g_cut, np.minimum(grades, GRADES - 2), np.where(grades < GRADES - 1, -du, 0.0) / n)
         np.add.at(g_cut, np.maximum(grades - 1, 0), np.where(grades > 0, dd, 0.0) / n)
@@ -133,12 +137,13 @@ def fit(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int,
             g[width + 1 + i] = g_cut[i + 1 :].sum() * np.exp(x[width + 1 + i])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         x -= rate * (1 - t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-10)
+        x[:width] = np.minimum(x[:width], 0.0)
     return x[:width], x[width] + np.concatenate([[0], np.cumsum(np.exp(x[width + 1 :]))])
 
 
 def grade(quality: Column, toxic: Column) -> Column:
-    """Grade of a label row: 0 poor, 1 well written but toxic, 2 good; null without a quality."""
-    return F.when(quality.isNull(), None).when(quality <= 0, 0).when(F.coalesce(toxic, F.lit(0)) > 0, 1).otherwise(2)
+    """Grade of a label row: 2 less one for poor quality and one for toxicity; null without a quality."""
+    return F.when(quality.isNull(), None).otherwise(2 - (quality <= 0).cast("int") - (F.coalesce(toxic, F.lit(0)) > 0).cast("int"))
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
@@ -190,12 +195,14 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5) -
         own, w, cuts = model.value
         table = np.zeros(WIDTH)
         table[own] = w[: len(own)]
+        chosen_ = np.zeros(WIDTH, bool)
+        chosen_[own] = True
         for batch in batches:
             for a, b, buf, off in arrays.text_pieces(batch, "text"):
                 row, feature = _features(buf, off)
-                hit = table[feature] != 0
+                hit = chosen_[feature]
                 row, feature = _present(row[hit], feature[hit])
-                value = np.bincount(row, weights=table[feature], minlength=b - a)
+                value = np.bincount(row, weights=table[feature], minlength=b - a) / np.sqrt(np.maximum(1, np.bincount(row, minlength=b - a)))
                 tails = 1 - 1 / (1 + np.exp(np.clip(value[:, None] - cuts[None, :], -40, 40)))
                 solid = np.zeros(len(buf) + 1, np.int64)
                 np.cumsum(~arrays.SPACE[buf], out=solid[1:])
