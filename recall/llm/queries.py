@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import benchmark_matches
 from .language_id import language_id
 from .ngram_jaccard import ngram_jaccard
 from .ordinal import quality_classifier
@@ -29,6 +30,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents")).drop("kept")
 
@@ -41,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_perplexity": op5_perplexity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
 }
