@@ -10,6 +10,7 @@ from .decontaminate import benchmark_matches
 from .language_id import language_id
 from .ngram_jaccard import ngram_jaccard
 from .ordinal import quality_classifier
+from .packing import pack_documents
 from .perplexity import perplexity_filter
 from .suffix_dedup import suffix_dedup
 
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_filter(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op5_perplexity": op5_perplexity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_ngram_jaccard": op7_ngram_jaccard,
