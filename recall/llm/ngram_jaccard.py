@@ -35,6 +35,8 @@ LEADERS = 3
 TOP = 3
 #: Fragments of the whole sets of compared documents.
 PARTS = 2
+#: Members of a bucket up to which its pairs are joined; those of larger ones are compared in place.
+SMALL = 48
 #: Members of a bucket that one task compares at a time.
 CELL = 2000
 #: Shingles that one task counts at a time before it passes on the repeated ones.
@@ -252,16 +254,22 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
 def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
     """All pairs (a, b, na, nb, c) of different components that share enough prefix shingles to be possible links.
 
-    ``live`` holds every shingle that two components share.  A row takes along all its shared shingles, so the
-    common ones of two members are counted where they meet; a pair is passed on only in the bucket of its least
-    common shingle.  With ``top``, only the pairs most likely to be links: of each member its ``top`` pairs with
-    the most common shingles in a bucket.  Buckets of over ``CELL`` members are cut into cells of two blocks each.
+    ``live`` holds every shingle that two components share.  Pairs in small buckets are joined.  A row of a large
+    bucket takes along its shingles in large buckets, so the common ones of two members are counted where they
+    meet, and a pair is passed on only in the bucket of its least common shingle, and only if it can be a link
+    whatever it shares in small buckets.  With ``top``, of each member only its ``top`` pairs with the most common
+    shingles in a large bucket.  Buckets of over ``CELL`` members are cut into cells of two blocks each.
     """
-    lists = live.groupBy("sig").agg(F.collect_list("token").alias("own"))
+    small = F.col("m") <= SMALL
+    x = live.filter(small).select("token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+    y = live.filter(small).select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+    joined = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
+    lists = live.groupBy("sig").agg(F.collect_list(F.when(~small, F.col("token"))).alias("own"), F.count(F.when(small, 1)).alias("spare"))
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     block = F.pmod(F.xxhash64("sig"), blocks).cast("int")
-    rows = live.join(lists, "sig").select("token", "sig", "n", "comp", "own", block.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "sig", "n", "comp", "own", "mine")
+    rows = live.filter(~small).join(lists, "sig").select("token", "sig", "n", "comp", "own", "spare", block.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "sig", "n", "comp", "own", "mine", "spare")
     rows = rows.repartition(shared.parts(live.sparkSession), "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
 
     def possible(na, nb, c):
@@ -270,7 +278,7 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
         fits = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
         return fits & (c + np.maximum(_need(na, percent), _need(nb, percent)) - 1 >= alpha)
 
-    def compare(token, lo, hi, sig, n, comp, own, size, mine):
+    def compare(token, lo, hi, sig, n, comp, own, size, mine, spare):
         m = len(sig)
         who = np.repeat(np.arange(m), size)
         value, at, count = np.unique(own, return_inverse=True, return_counts=True)
@@ -288,7 +296,7 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
             if early.any():
                 part = part[:, early]
                 before += part @ part.T
-        ok = (comp[:, None] != comp[None, :]) & (before == 0) & possible(n[:, None], n[None, :], common.astype(np.int64))
+        ok = (comp[:, None] != comp[None, :]) & (before == 0) & possible(n[:, None], n[None, :], common.astype(np.int64) + np.minimum(spare[:, None], spare[None, :]))
         if lo != hi:
             ok &= mine[:, None] != mine[None, :]
         if top and m > top:
@@ -319,19 +327,20 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
         out: list[tuple] = []
         for held in groups():
             token, lo, hi = (held[0].column(i)[0].as_py() for i in range(3))
-            sig, n, comp, mine = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]).astype(np.int64) for i in (3, 4, 5, 7))
+            sig, n, comp, mine, spare = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]).astype(np.int64) for i in (3, 4, 5, 7, 8))
             if len(sig) < 2 or (comp == comp[0]).all():
                 continue
             own = np.concatenate([x.column(6).flatten().to_numpy() for x in held])
             size = np.concatenate([x.column(6).value_lengths().to_numpy(zero_copy_only=False) for x in held])
-            out.append(compare(token, lo, hi, sig, n, comp, own, size, mine))
+            out.append(compare(token, lo, hi, sig, n, comp, own, size, mine, spare))
             if sum(len(x[0]) for x in out) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "na", "nb", "c"])
                 out = []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "na", "nb", "c"])
 
-    return rows.mapInArrow(run, "a long, b long, na long, nb long, c long")
+    met = rows.mapInArrow(run, "a long, b long, na long, nb long, c long")
+    return _possible(joined.union(met).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent)
 
 
 def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 3) -> DataFrame:
@@ -364,11 +373,11 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int
         per = now.groupBy("token", "comp").agg(F.count("*").alias("s"), *leads).groupBy("token")
         per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"), F.array(*(F.max_by(f"lead{i}", F.struct("s", f"lead{i}")) for i in range(LEADERS))).alias("leads"))
         per = shared.save(per.filter(F.col("comps") > 1).select("token", "m", "sq", "leads"), "buckets")
-        cross, members = per.agg(F.sum((F.col("m") * F.col("m") - F.col("sq")) / 2), F.sum("m")).first()
+        cross, hard, members = per.agg(F.count("*"), F.sum(F.when(F.col("m") > SMALL, (F.col("m") * F.col("m") - F.col("sq")) / 2).otherwise(0)), F.sum("m")).first()
         if not cross:
             break
         live = shared.save(now.join(per.select("token", "m"), "token"), "live")
-        last = cross <= 4 * members or turn == rounds
+        last = hard <= 4 * members or turn == rounds
         if turn or last:
             pairs = _across(live, percent, None if last else TOP)
         else:
