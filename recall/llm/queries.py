@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import benchmark_matches
+from .html_extract import main_text
 from .language_id import language_id
 from .ngram_jaccard import ngram_jaccard
 from .ordinal import quality_classifier
@@ -23,6 +24,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_filter(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_html_extraction": op3_html_extraction,
     "op5_perplexity": op5_perplexity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_ngram_jaccard": op7_ngram_jaccard,
