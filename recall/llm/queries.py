@@ -14,12 +14,18 @@ from .ordinal import quality_classifier
 from .packing import pack_documents
 from .perplexity import perplexity_filter
 from .suffix_dedup import suffix_dedup
+from .url_filter import page_ratings, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter(pages, page_ratings(pages, _table(spark, sf_dir, "labels")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
     "op3_html_extraction": op3_html_extraction,
     "op5_perplexity": op5_perplexity,
