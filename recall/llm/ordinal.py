@@ -146,11 +146,12 @@ def grade(quality: Column, toxic: Column) -> Column:
     return F.when(quality.isNull(), None).otherwise(2 - (quality <= 0).cast("int") - (F.coalesce(toxic, F.lit(0)) > 0).cast("int"))
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5, carry: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, expected_grade, tail_probability, kept.
 
     ``labels`` (doc_id, quality, toxic) give grades (``grade``); of several label rows of a document the lowest
-    counts.  tail_probability is that of the highest grade, kept where it is at least ``least``.
+    counts.  tail_probability is that of the highest grade, kept where it is at least ``least``.  ``carry`` names
+    columns of ``docs`` to return first instead of doc_id.
 
     A text that is null or has no word is rejected, with grade and probability 0.  Labels without quality or without a document are ignored.
     Repeated document rows get equal results.  If the labels have fewer than two grades nothing can be learned:
@@ -159,6 +160,8 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5) -
     """
     spark = docs.sparkSession
     shared.ship(spark)
+    whole = docs.select("doc_id", "text", *(c for c in carry or [] if c not in ("doc_id", "text")))
+    first = carry or ["doc_id"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rated = labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade(F.col("quality"), F.col("toxic")).alias("grade")).dropna()
     rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
@@ -170,7 +173,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5) -
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]") & F.col("text").isNotNull()
     if sample.agg(F.count_distinct("grade")).first()[0] < 2:
         none = F.lit(None).cast("double")
-        return docs.select("doc_id", none.alias("expected_grade"), none.alias("tail_probability"), F.coalesce(words, F.lit(False)).alias("kept"))
+        return whole.select(*first, none.alias("expected_grade"), none.alias("tail_probability"), F.coalesce(words, F.lit(False)).alias("kept"))
     chosen = _chosen(sample)
 
     def selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +210,10 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5) -
                 solid = np.zeros(len(buf) + 1, np.int64)
                 np.cumsum(~arrays.SPACE[buf], out=solid[1:])
                 some = np.diff(solid[off]) > 0
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.where(some, tails.sum(1), 0.0)), pa.array(np.where(some, tails[:, -1], 0.0)), pa.array(some & (tails[:, -1] >= least))], ["doc_id", "expected_grade", "tail_probability", "kept"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(batch.schema.get_field_index(c)).slice(a, b - a) for c in first), pa.array(np.where(some, tails.sum(1), 0.0)), pa.array(np.where(some, tails[:, -1], 0.0)), pa.array(some & (tails[:, -1] >= least))],
+                    [*first, "expected_grade", "tail_probability", "kept"],
+                )
 
-    return docs.mapInArrow(score, "doc_id long, expected_grade double, tail_probability double, kept boolean")
+    schema = whole.select(*first).schema.add("expected_grade", "double").add("tail_probability", "double").add("kept", "boolean")
+    return whole.mapInArrow(score, schema)

@@ -109,19 +109,20 @@ def bloom(ids: DataFrame):
     return ids.sparkSession.sparkContext.broadcast(bits)
 
 
-def maybe(docs: DataFrame, held, wanted: bool = True) -> DataFrame:
-    """(doc_id, text) of the rows whose doc_id the filter may hold, or surely does not hold; texts pass as they are."""
+def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple = ()) -> DataFrame:
+    """(doc_id, text) and ``columns`` of the rows whose doc_id the filter may hold, or surely does not hold; texts pass as they are."""
 
     def has(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         for batch in batches:
             hit = np.ones(batch.num_rows, bool)
-            for i in (2, 3):
-                at = batch.column(i).to_numpy(zero_copy_only=False)
+            for i in (-2, -1):
+                at = batch.column(batch.num_columns + i).to_numpy(zero_copy_only=False)
                 hit &= (bits[at >> 6] >> (at & 63)) & 1 == 1
             hit = hit if wanted else ~hit
             if hit.any():
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:2]], ["doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:-2]], names)
 
+    names = ["doc_id", "text", *columns]
     one, two = _bits("doc_id")
-    return docs.select("doc_id", "text", one.alias("one"), two.alias("two")).mapInArrow(has, "doc_id long, text string")
+    return docs.select(*names, one.alias("_one"), two.alias("_two")).mapInArrow(has, docs.select(*names).schema)

@@ -245,20 +245,20 @@ def _shards(length: int):
     return run
 
 
-def _kept(length: int):
+def _kept(length: int, extra: list[str]):
     """doc_id, digest columns and the remaining text of rows (doc_id, text[, marks])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = batch.column(2) if batch.num_columns > 2 else None
+            marks = batch.column(2)
             for a, b, buf, off in arrays.text_pieces(batch, "text"):
                 ver = arrays.Rolling(buf).of(off[:-1], off[1:]).view(np.int64)
                 size = np.diff(off)
                 removed, spans, left = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64), []
                 for i in range(b - a):
                     text = buf[off[i] : off[i + 1]]
-                    own = marks[a + i] if marks is not None else None
-                    if own is not None and own.is_valid and len(own.values):
+                    own = marks[a + i]
+                    if own.is_valid and len(own.values):
                         v, at, n = (own.values.field(j).to_numpy(zero_copy_only=False) for j in range(3))
                         mine = v == ver[i]
                         turn = np.zeros(len(text) + 1, np.int64)
@@ -270,18 +270,18 @@ def _kept(length: int):
                         text = text[~out]
                     left.append(text.tobytes())
                 sha = [hashlib.sha256(x).hexdigest() for x in left]
-                ids = batch.column(0).slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha), pa.array(left, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                same = [batch.column(j).slice(a, b - a) for j in (0, *range(3, 3 + len(extra)))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha), pa.array(left, pa.binary())], ["doc_id", *extra, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
 
     Every byte is removed that a ``length``-byte string covers which also starts earlier: in a document with a
     smaller doc_id, or earlier in the same one.  Strings are judged on the input.  A cut may fall inside a
-    character, so ``kept`` is binary.
+    character, so ``kept`` is binary.  ``carry`` names further columns of ``docs`` to return.
 
     Null texts are empty: 0 bytes and the digest of no bytes.  A null doc_id counts as larger than all others.
     Rows that repeat both doc_id and text are one document and get equal results; rows that repeat a doc_id
@@ -290,7 +290,11 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     """
     spark = docs.sparkSession
     shared.ship(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    carry = [c for c in carry or [] if c not in ("doc_id", "text")]
+    more = [F.col(c).alias(f"carry{i}") for i, c in enumerate(carry)]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+    extra = docs.columns[2:]
+    full, docs = docs, docs.select("doc_id", "text")
     parts = shared.parts(spark)
     buckets = max(8, min(1024, parts // 2))
     schema = "doc long, ver long, at long, n long, key long, hot boolean"
@@ -310,7 +314,11 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     gone = marks.filter(F.col("key").isNull()).select(*columns).union(found.filter(F.col("one").isNull()).select(*columns)).union(later.select(*columns))
     held = shared.bloom(gone.select(F.col("doc").alias("id")))
     lists = gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("ver", "at", "n")).alias("marks"))
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    cut = shared.maybe(known, held).join(lists, "doc_id", "left").select("doc_id", "text", "marks").mapInArrow(_kept(length), out)
-    whole = shared.maybe(known, held, wanted=False).mapInArrow(_kept(length), out)
-    return cut.union(whole).withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")))
+    known = full.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
+    out = known.select("doc_id", *extra).schema
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")):
+        out = out.add(name, kind)
+    cut = shared.maybe(known, held, columns=extra).join(lists, "doc_id", "left").select("doc_id", "text", "marks", *extra).mapInArrow(_kept(length, extra), out)
+    whole = shared.maybe(known, held, wanted=False, columns=extra).select("doc_id", "text", F.lit(None).cast("array<struct<ver:long,at:long,n:long>>").alias("marks"), *extra).mapInArrow(_kept(length, extra), out)
+    both = cut.union(whole)
+    return both.select(F.when(F.col("doc_id") != _LAST, F.col("doc_id")).alias("doc_id"), *(F.col(f"carry{i}").alias(c) for i, c in enumerate(carry)), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
