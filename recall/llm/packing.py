@@ -6,8 +6,8 @@ opens a sequence; its words query the shard's inverted index, and the best docum
 the sequence one after another.  The one that reaches the end is cut, and its rest seeds the next sequence.
 What is left at the end of a shard is cut into sequences whose lengths are powers of two, which need no padding.
 
-Texts are tokenised through their distinct words: the tokenizer's pieces never cross white space, so the ids of
-a text are those of its words in order.
+Texts are tokenised through the distinct parts of their words: the tokenizer's pieces never cross white space,
+nor borders between letters, digits and marks, so the ids of a text are those of its parts in order.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -27,13 +26,56 @@ from pyspark.sql import functions as F
 from . import arrays, shared
 
 SHARD_DOCS, SHARD_TOKENS = 1024, 2_000_000
-#: Words whose ids a worker remembers.
-REMEMBERED = 300_000
+#: Parts of words whose ids a worker remembers (about 40 bytes each).
+REMEMBERED = 1_500_000
+#: Parts of words that are encoded at a time.
+TOGETHER = 500
 K1, B = 1.2, 0.75
+#: Neighbours that one query returns at least, if there are so many; a sequence that they don't fill asks again.
+NEIGHBOURS = 32
+
+
+# Classes of bytes: letter, digit, other mark, white space.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
+_KIND[48:58] = 2
+_KIND[arrays.SPACE] = 0
+#: Bytes of words that are given to the tokenizer whole: all but ASCII and the Latin-1 letters, and the apostrophe.
+_WHOLE = np.zeros(256, bool)
+_WHOLE[0xC0:0xC3] = _WHOLE[0xC4:] = _WHOLE[ord("'")] = True
+
+
+def _parts(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, starts and ends of parts, whether a part is a whole word, and the first part of each text.
+
+    A word is cut where the tokenizer cuts it (between letters, marks and single digits).  Words that hold other
+    characters, an apostrophe, or both ``<`` and ``|`` (a special token) stay whole, and as they are.
+    """
+    starts, ends, _ = arrays.words(buf, off)
+    count = np.zeros(len(buf) + 1, np.int32)
+    odd = _WHOLE[buf]
+    sign = (buf[1:] == 0x97) | (buf[1:] == 0xB7)
+    odd[:-1] |= (buf[:-1] == 0xC3) & sign
+    odd[:-1] |= (buf[:-1] == ord("<")) & (buf[1:] == ord("|"))
+    np.cumsum(odd, out=count[1:])
+    whole = count[ends] > count[starts]
+    kind = _KIND[buf]
+    edge = np.zeros(len(buf), bool)
+    edge[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    low = arrays.LOWER[buf]
+    if whole.any():
+        inside = arrays.ragged(starts[whole], (ends - starts)[whole])
+        edge[inside] = False
+        low[inside] = buf[inside]
+    edge[starts] = True
+    edge &= kind != 0
+    first = np.flatnonzero(edge)
+    stop = np.minimum(np.r_[first[1:], len(buf)], ends[np.searchsorted(starts, first, "right") - 1])
+    return low, first, stop, count[stop] > count[first], np.searchsorted(first, off, "left")
 
 
 class Words:
-    """Token ids of words, remembered within a worker process."""
+    """Token ids of parts of words, remembered within a worker process in arrays sorted by hash."""
 
     _all: dict[str, Words] = {}
 
@@ -42,7 +84,10 @@ class Words:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[int, tuple[int, ...]] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+        self.clear()
 
     @classmethod
     def of(cls, path: str) -> Words:
@@ -50,23 +95,53 @@ class Words:
             cls._all[path] = cls(path)
         return cls._all[path]
 
-    def tokens(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, one after another, and the number of ids of each word."""
+    def clear(self) -> None:
+        self.hash = np.zeros(0, np.uint64)
+        self.begin = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int32)
+        self.flat = np.zeros(0, np.uint32)
+
+    def encode(self, texts: list[str], whole: list[bool]) -> list:
+        """Ids of each text.  Parts are encoded many at a time: each ends with the one token that ends a word."""
+        out: list = [None] * len(texts)
+        single = [i for i, x in enumerate(whole) if x]
+        plain = [i for i, x in enumerate(whole) if not x]
+        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        for group, got in zip(groups, self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, np.uint32)
+            stops = np.flatnonzero(self.last[ids]) + 1
+            if len(stops) != len(group) or stops[-1] != len(ids):
+                single += group
+                continue
+            for i, x in zip(group, np.split(ids, stops[:-1]), strict=True):
+                out[i] = x
+        for i, got in zip(single, self.tokenizer.encode_batch_fast([texts[i] for i in single], add_special_tokens=False), strict=True):
+            out[i] = np.array(got.ids, np.uint32)
+        return out
+
+    def tokens(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, one after another, and the number of ids of each part."""
         names, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        keys = names.tolist()
-        new = [i for i, x in enumerate(keys) if x not in self.ids]
-        if new:
+        if len(self.hash) > REMEMBERED:
+            self.clear()
+        place = np.searchsorted(self.hash, names)
+        new = np.ones(len(names), bool)
+        some = place < len(self.hash)
+        new[some] = self.hash[place[some]] != names[some]
+        if new.any():
             raw = buf.tobytes()
-            texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
-            for i, got in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.ids[keys[i]] = tuple(got.ids)
-        lists = [self.ids[x] for x in keys]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
-        begin = np.cumsum(size) - size
-        return flat[arrays.ragged(begin[back], size[back])], size[back]
+            own = at[new]
+            texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+            lists = self.encode(texts, whole[own].tolist())
+            size = np.fromiter(map(len, lists), np.int32, len(lists))
+            begin = len(self.flat) + np.cumsum(size) - size
+            self.flat = np.concatenate([self.flat, *lists])
+            self.hash = np.insert(self.hash, place[new], names[new])
+            self.begin = np.insert(self.begin, place[new], begin)
+            self.size = np.insert(self.size, place[new], size)
+            place = np.searchsorted(self.hash, names)
+        size = self.size[place].astype(np.int64)[back]
+        return self.flat[arrays.ragged(self.begin[place][back], size)], size
 
 
 class Index:
@@ -129,8 +204,11 @@ def pack(sizes: np.ndarray, index: Index, window: int) -> list[list[tuple[int, i
             continue
         seed = now[0][0]
         score = np.where(unused, index.scores(seed), -1.0)
-        best = np.argsort(-score, kind="stable")[:64]
-        best = best[score[best] > 0]
+        live = np.flatnonzero(score > 0)
+        if len(live) > NEIGHBOURS:
+            least = np.partition(score[live], len(live) - NEIGHBOURS)[len(live) - NEIGHBOURS]
+            live = live[score[live] >= least]
+        best = live[np.argsort(-score[live], kind="stable")]
         if not len(best):
             best = np.array([first])
         for doc in best.tolist():
@@ -202,11 +280,10 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            for a, b, buf, off in arrays.text_pieces(batch, "text"):
-                starts, ends, first = arrays.words(buf, off)
-                h = arrays.Rolling(buf).of(starts, ends)
-                low = arrays.Rolling(arrays.LOWER[buf]).of(starts, ends)
-                flat, size = words.tokens(buf, starts, ends, h)
+            for a, b, buf, off in arrays.text_pieces(batch, "text", 3 * arrays.PIECE_BYTES):
+                low, starts, ends, whole, first = _parts(buf, off)
+                h = arrays.Rolling(low).of(starts, ends)
+                flat, size = words.tokens(low, starts, ends, whole, h)
                 at = np.concatenate([[0], np.cumsum(size)])
                 for i, doc in enumerate(batch.column(0).slice(a, b - a).to_pylist()):
                     own = np.empty(at[first[i + 1]] - at[first[i]] + 1, "<u4")
@@ -217,7 +294,7 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
                         ids, tokens, terms, held = [], [], [], 0
                     ids.append(doc)
                     tokens.append(own)
-                    terms.append(low[first[i] : first[i + 1]].copy())
+                    terms.append(h[first[i] : first[i + 1]].copy())
                     held += len(own)
         if ids:
             yield done()
