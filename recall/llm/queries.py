@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import benchmark_matches
 from .html_extract import main_text
 from .language_id import language_id
+from .license_scan import license_scan
 from .ngram_jaccard import ngram_jaccard
 from .ordinal import quality_classifier
 from .packing import pack_documents
@@ -34,6 +35,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_filter(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
     "op3_html_extraction": op3_html_extraction,
+    "op4_license_scan": op4_license_scan,
     "op5_perplexity": op5_perplexity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_ngram_jaccard": op7_ngram_jaccard,
