@@ -8,10 +8,10 @@ passes only those on.  Overlaps are counted apart in each fragment and summed fo
 prefixes (an upper bound of the whole overlap follows and drops most pairs), then over fragments of the whole
 sets (the exact overlap).
 
-Large groups.  Documents with equal sets are one node.  In a bucket of one shingle every member is first
-compared with a few leaders only, then each with the few it shares most with, so a group of m near copies costs
-a multiple of m comparisons; once members are known to be connected no pair of them is made.  Only pairs that
-cross components are then compared, and all of those are, so the components are exact.
+Large groups.  Documents with equal sets are one node.  In a large bucket of one shingle every member is first
+compared with the few it shares most with, so a group of m near copies costs a multiple of m comparisons; once
+members are known to be connected no pair of them is made.  Only pairs that cross components are then compared,
+and all of those are, so the components are exact.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ from .shared import components
 
 #: Size of the table of frequent shingles that all tasks hold (12 bytes each); it only shapes the order.
 FREQUENT = 400_000
-#: Members of the largest component of a bucket that all others are compared with in a round.
-LEADERS = 3
 #: Pairs of a member that are tried before all of them are.
 TOP = 3
 #: Fragments of the whole sets of compared documents.
@@ -343,7 +341,7 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
     return _possible(joined.union(met).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent)
 
 
-def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 3) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 1) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two texts are linked when ``100 * intersection >= percent * union`` of their sets of distinct ``k``-word
@@ -369,23 +367,15 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int
     tried: list[DataFrame] = []
     now = tokens.withColumn("comp", F.col("sig"))
     for turn in range(rounds + 1):
-        leads = [F.max(F.struct(F.xxhash64("sig", F.lit(LEADERS * turn + i)).alias("order"), "sig", "n")).alias(f"lead{i}") for i in range(LEADERS)]
-        per = now.groupBy("token", "comp").agg(F.count("*").alias("s"), *leads).groupBy("token")
-        per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"), F.array(*(F.max_by(f"lead{i}", F.struct("s", f"lead{i}")) for i in range(LEADERS))).alias("leads"))
-        per = shared.save(per.filter(F.col("comps") > 1).select("token", "m", "sq", "leads"), "buckets")
+        per = now.groupBy("token", "comp").agg(F.count("*").alias("s")).groupBy("token")
+        per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"))
+        per = shared.save(per.filter(F.col("comps") > 1).select("token", "m", "sq"), "buckets")
         cross, hard, members = per.agg(F.count("*"), F.sum(F.when(F.col("m") > SMALL, (F.col("m") * F.col("m") - F.col("sq")) / 2).otherwise(0)), F.sum("m")).first()
         if not cross:
             break
         live = shared.save(now.join(per.select("token", "m"), "token"), "live")
         last = hard <= 4 * members or turn == rounds
-        if turn or last:
-            pairs = _across(live, percent, None if last else TOP)
-        else:
-            lead = per.select("token", F.explode(F.array_distinct(F.transform("leads", lambda x: F.struct(x["sig"].alias("a"), x["n"].alias("na"))))).alias("l")).select("token", "l.a", "l.na")
-            pairs = live.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")).join(lead, "token").filter(F.col("a") != F.col("b"))
-            low = F.col("a") < F.col("b")
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(low, F.col("nb")).otherwise(F.col("na")).alias("nb"))
-            pairs = _possible(pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent)
+        pairs = _across(live, percent, None if last else TOP)
         for old in tried:
             pairs = pairs.join(old.select("a", "b"), ["a", "b"], "left_anti")
         pairs = shared.save(pairs, "pairs")
