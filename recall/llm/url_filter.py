@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 #: (verdict, rule), a rule being host and path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 LEVELS = 3
@@ -83,16 +85,20 @@ def url_filter(pages: DataFrame, ratings: DataFrame, rules=RULES) -> DataFrame:
     rows = rows.join(rated, "page_id", "left")
     rows = rows.withColumn("segs", F.slice(F.split(F.substring("path", 2, 1 << 30), "/"), 1, LEVELS))
     shapes = rows.groupBy("host", "segs").agg(F.count("*").alias("n"), F.count("good").alias("rated"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    tree = shapes.withColumn("t", F.lit(""))
-    for level in range(1, LEVELS + 1):
-        tree = _level(tree, level)
+    tree = shared.save(shapes.withColumn("t", F.lit("")), "shapes")
+    for level in range(1, LEVELS + 1):  # written, so that the plan doesn't double with every level
+        deeper = shared.save(_level(tree, level), "shapes")
+        shared.forget(tree)
+        tree = deeper
     leaf = tree.groupBy("host", "t").agg(F.sum("rated").alias("rated"), F.sum("good").alias("good"))
+    leaf = shared.save(leaf, "templates")
     hosts = leaf.groupBy("host").agg(F.sum("rated").alias("host_rated"), F.sum("good").alias("host_good"))
     all_ = hosts.agg(F.coalesce(F.try_divide(F.sum("host_good"), F.sum("host_rated")), F.lit(1.0)).alias("all_share"))
     hosts = hosts.crossJoin(F.broadcast(all_))  # one row
     prior = (F.col("host_good") + PRIOR * F.col("all_share")) / (F.col("host_rated") + PRIOR)
     judged = leaf.join(hosts, "host").select("host", "t", F.round((F.col("good") + PRIOR * prior) / (F.col("rated") + PRIOR), 9).alias("purity"))
-    of = tree.select("host", "segs", "t").join(judged, ["host", "t"])
+    of = shared.save(tree.select("host", "segs", "t").join(judged, ["host", "t"]), "judged")
+    shared.forget(tree)
     out = rows.select("page_id", "host", "path", "segs").join(of, ["host", "segs"])
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("purity") < LEAST, "block").otherwise("allow")
