@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,8 +50,6 @@ def has_marker(path: Column, markers: tuple[str, ...]) -> Column:
 
 def decode_ignoring(raw: Column) -> Column:
     """UTF-8 text of binary ``raw`` without its invalid bytes; whole batches at a time, as no built-in drops them."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decode(values: pd.Series) -> pd.Series:
         return values.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))

@@ -13,13 +13,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import session
 
-#: Files that are looked for, and tables that are preferred, in order.
-FILES = ("hermes.db", "memory.db", "agent.db")
-TABLES = ("memories", "memory", "agent_memory", "hermes_memory")
+#: Files that are looked for, and tables that are preferred, in order; a host's own names come first (see ``own``).
+FILES = ("memory.db", "agent.db")
+TABLES = ("memories", "memory", "agent_memory")
+
+
+def own(kind: str) -> tuple[str, ...]:
+    """Further names of a host application, from RECALL_LOCAL_FILES or RECALL_LOCAL_TABLES (comma-separated)."""
+    return tuple(x for x in os.environ.get(f"RECALL_LOCAL_{kind}", "").split(",") if x)
 
 
 def find_file(home: str) -> str | None:
-    return next((p for p in (os.path.join(home, f) for f in FILES) if os.path.exists(p)), None)
+    return next((p for p in (os.path.join(home, f) for f in (*own("FILES"), *FILES)) if os.path.exists(p)), None)
 
 
 def _connect(path: str) -> sqlite3.Connection:
@@ -30,7 +35,7 @@ def find_table(path: str) -> tuple[str, list[str]] | None:
     """The preferred table, else the first, and its columns."""
     with _connect(path) as db:
         names = [r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table'")]
-        table = next((t for t in TABLES if t in names), names[0] if names else None)
+        table = next((t for t in (*TABLES, *own("TABLES")) if t in names), names[0] if names else None)
         if table is None:
             return None
         return table, [r[1] for r in db.execute(f'PRAGMA table_info("{table}")')]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions import text
+from .. import session
 from ..operators import ingest
 
 SCHEMA = "path string, vault string, rel string, text string"
@@ -25,14 +26,30 @@ def list_notes(vaults: list[str]) -> list[tuple[str, str, str]]:
     return out
 
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of one task, one at a time; invalid UTF-8 is dropped, an unreadable file is left out."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            try:
+                with open(row["path"], "rb") as f:
+                    body = f.read().decode("utf-8", "ignore")
+            except OSError:
+                continue
+            yield pa.RecordBatch.from_pylist([row | {"text": body}], pa.schema([(c, pa.string()) for c in ("path", "vault", "rel", "text")]))
+
+
 def discover_notes(spark: SparkSession, vaults: list[str], min_chars: int = 200) -> DataFrame:
-    """Notes (path, vault, rel, hash, body) under ``vaults``; missing folders are skipped, bad bytes dropped."""
+    """Notes (path, vault, rel, hash, body) under ``vaults``; missing folders are skipped, bad bytes dropped.
+
+    The folders must be mounted where tasks run.  Spark's file sources can't be used: they pass over every name that
+    begins with ``_`` or ``.``, even one given by its path.
+    """
     found = list_notes(vaults)
     if not found:
         return ingest.note_rows(spark.createDataFrame([], SCHEMA), min_chars)
+    session.ship(spark)
     names = spark.createDataFrame(found, "path string, vault string, rel string")
-    raw = spark.read.format("binaryFile").load([f"file://{p}" for p, _, _ in found]).select(F.regexp_replace(F.expr("url_decode(replace(path, '+', '%2B'))"), "^file:/+", "/").alias("path"), "content")
-    rows = names.join(raw, "path").select("path", "vault", "rel", text.decode_ignoring(F.col("content")).alias("text"))
+    rows = names.repartition(min(len(found), 8 * spark.sparkContext.defaultParallelism)).mapInArrow(_read, SCHEMA)
     return ingest.note_rows(rows, min_chars)
 
 
