@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracles
 from .decontaminate import benchmark_matches
 from .html_extract import main_text
 from .language_id import language_id
@@ -76,4 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+}
