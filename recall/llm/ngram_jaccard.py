@@ -341,7 +341,7 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
     return _possible(joined.union(met).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent)
 
 
-def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 1) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 2) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two texts are linked when ``100 * intersection >= percent * union`` of their sets of distinct ``k``-word
