@@ -10,8 +10,8 @@ comparison can be made within its shard:
   minimizers are laid in one shard text, its suffix array is induced, and common prefixes of neighbours in the
   array give the classes of equal windows; all but the first of each class go.
 
-Large groups.  Equal snippets within a piece of input are joined before the shuffle, so a group of copies sends
-one entry for each piece.  A minimizer with more than ``HOT`` different snippets is dealt over several shards;
+Large groups.  Equal snippets within a part of the input are joined before the shuffle, so a group of copies
+sends one entry for each part.  A minimizer with more than ``HOT`` different snippets is dealt over several shards;
 windows that are first in their shard are then compared across shards by a 128-bit hash and a minimum.
 """
 
@@ -34,6 +34,8 @@ GRAM = 24
 SHARD_BYTES = 1 << 20
 #: Different snippets of one minimizer that one shard takes (3.5 MB of text for strings of 100 bytes).
 HOT = 20_000
+#: Runs that a task joins before it passes them on (about 50 bytes each).
+HELD = 200_000
 _LAST = 2**63 - 1
 
 _DOC = np.dtype([("doc", "<i8"), ("ver", "<i8"), ("cnt", "<u4")])
@@ -67,7 +69,8 @@ def _snippets(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray
     head = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (row[1:] != row[:-1])])
     many = np.diff(np.r_[head, len(start)])
     first, row = start[head], row[head]
-    return row, first, many, gram[place[head]], roll.of(first, first + many + length - 1)
+    # a minimizer's hash is small by choice: mixed again, it is even over its range
+    return row, first, many, arrays.mix(gram[place[head]] ^ np.uint64(0x9E3779B97F4A7C15)), roll.of(first, first + many + length - 1)
 
 
 def _versions(batch: pa.RecordBatch, a: int, b: int, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,39 +79,45 @@ def _versions(batch: pa.RecordBatch, a: int, b: int, buf: np.ndarray, off: np.nd
 
 
 def _collect(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Per piece of input and bucket of minimizers the first run of each snippet; repeated ones as marks."""
+    """Per part of the input and bucket of minimizers the first run of each snippet; repeated ones as marks."""
+
+    def flush(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        doc, ver, at, many, h, s = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((at, ver, doc, s))
+        same = np.r_[False, s[order][1:] == s[order][:-1]]
+        lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+        twin = (doc[order] == doc[lead]) & (ver[order] == ver[lead]) & (at[order] == at[lead])
+        gone, kept = order[same & ~twin], order[~same]
+        bucket = ((h[kept] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        by = np.lexsort((at[kept], ver[kept], doc[kept], bucket))
+        cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        keys, blobs = [], []
+        for f in np.flatnonzero(np.diff(cut)).tolist():
+            o = kept[by[cut[f] : cut[f + 1]]]
+            d, v = doc[o], ver[o]
+            head = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (v[1:] != v[:-1])])
+            docs_, runs = np.zeros(len(head), _DOC), np.zeros(len(o), _RUN)
+            docs_["doc"], docs_["ver"], docs_["cnt"] = d[head], v[head], np.diff(np.r_[head, len(o)])
+            runs["h"], runs["s"], runs["at"], runs["n"] = h[o] & np.uint64(0xFFFFFFFF), s[o], at[o], many[o]
+            keys.append(f)
+            blobs.append(np.uint32(len(head)).tobytes() + docs_.tobytes() + runs.tobytes())
+        m = len(keys)
+        lists = [pa.array([None] * m + [x[gone]], pa.list_(pa.int64())) for x in (doc, ver, at, many)]
+        return pa.RecordBatch.from_arrays([pa.array([*keys, int(s[0] % np.uint64(buckets))], pa.int32()), pa.array([*blobs, None], pa.binary()), *lists], ["bucket", "runs", "doc", "ver", "at", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for a, b, buf, off in arrays.text_pieces(batch, "text"):
                 ids, ver = _versions(batch, a, b, buf, off)
                 row, first, many, h, s = _snippets(buf, off, length)
-                if not len(row):
-                    continue
-                at = first - off[row]
-                order = np.lexsort((at, ver[row], ids[row], s))
-                same = np.r_[False, s[order][1:] == s[order][:-1]]
-                lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
-                twin = (ids[row[order]] == ids[row[lead]]) & (ver[row[order]] == ver[row[lead]]) & (at[order] == at[lead])
-                gone = np.sort(order[same & ~twin])
-                kept = np.sort(order[~same])
-                bucket = ((h[kept] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                by = np.argsort(bucket, kind="stable")
-                cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
-                keys, blobs = [], []
-                for f in range(buckets):
-                    o = kept[by[cut[f] : cut[f + 1]]]
-                    if len(o):
-                        who = row[o]
-                        head = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-                        docs_, runs = np.zeros(len(head), _DOC), np.zeros(len(o), _RUN)
-                        docs_["doc"], docs_["ver"], docs_["cnt"] = ids[who[head]], ver[who[head]], np.diff(np.r_[head, len(o)])
-                        runs["h"], runs["s"], runs["at"], runs["n"] = h[o] & np.uint64(0xFFFFFFFF), s[o], at[o], many[o]
-                        keys.append(f)
-                        blobs.append(np.uint32(len(head)).tobytes() + docs_.tobytes() + runs.tobytes())
-                m = len(keys)
-                lists = [pa.array([None] * m + [x], pa.list_(pa.int64())) for x in (ids[row[gone]], ver[row[gone]], at[gone], many[gone])]
-                yield pa.RecordBatch.from_arrays([pa.array([*keys, (a + len(gone)) % buckets], pa.int32()), pa.array([*blobs, None], pa.binary()), *lists], ["bucket", "runs", "doc", "ver", "at", "n"])
+                if len(row):
+                    held.append((ids[row], ver[row], first - off[row], many, h, s))
+                if sum(len(x[0]) for x in held) > HELD:
+                    yield flush(held)
+                    held = []
+        if held:
+            yield flush(held)
 
     return docs.mapInArrow(run, "bucket int, runs binary, doc array<long>, ver array<long>, at array<long>, n array<long>")
 
@@ -296,9 +305,9 @@ def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = N
     extra = docs.columns[2:]
     full, docs = docs, docs.select("doc_id", "text")
     parts = shared.parts(spark)
-    buckets = max(8, min(1024, parts // 2))
+    buckets = parts
     schema = "doc long, ver long, at long, n long, key long, hot boolean"
-    marks = shared.save(_collect(docs, length, buckets).repartition(parts, "bucket").mapInArrow(_judge, schema), "marks")
+    marks = shared.save(_collect(docs, length, buckets).repartitionById(parts, "bucket").mapInArrow(_judge, schema), "marks")
     known = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text")
     want = marks.filter(F.col("key").isNotNull())
     first = shared.maybe(known, shared.bloom(want.select(F.col("doc").alias("id"))))
