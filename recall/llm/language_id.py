@@ -129,7 +129,7 @@ def _counts(docs: DataFrame, langs: list[str], buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(y["kind"].astype(np.int32)), pa.array(y["h"].astype(np.uint64).view(np.int64)), pa.array(y["lang"].astype(np.int32)), pa.array(y["c"].astype(np.int64))], ["kind", "h", "lang", "c"])
 
     parts = docs.select("text", "lang").mapInArrow(count, "bucket int, entries binary")
-    return parts.repartition(shared.parts(docs.sparkSession), "bucket").mapInArrow(merge, "kind int, h long, lang int, c long")
+    return parts.repartitionById(buckets, "bucket").mapInArrow(merge, "kind int, h long, lang int, c long")
 
 
 def _model(counts: DataFrame, langs: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -206,7 +206,7 @@ def language_id(docs: DataFrame) -> DataFrame:
     langs = sorted(r["lang"] for r in learn.select("lang").distinct().collect())
     if not langs:
         return docs.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    counts = shared.save(_counts(learn, langs, max(8, shared.parts(spark) // 2)), "counts")
+    counts = shared.save(_counts(learn, langs, shared.parts(spark)), "counts")
     model = spark.sparkContext.broadcast(_model(counts, len(langs)))
     shared.forget(counts)
 

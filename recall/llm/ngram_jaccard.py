@@ -31,12 +31,14 @@ from .shared import components
 FREQUENT = 400_000
 #: Pairs of a member that are tried before all of them are.
 TOP = 3
-#: Fragments of the whole sets of compared documents.
-PARTS = 2
+#: Shingles of a set, on average, in one fragment when whole sets are compared (rounded up to a power-of-two number).
+PART = 1024
 #: Members of a bucket up to which its pairs are joined; those of larger ones are compared in place.
 SMALL = 48
 #: Members of a bucket that one task compares at a time.
 CELL = 2000
+#: Prefix shingles that one task joins before it passes them on (20 bytes each).
+HELD = 500_000
 #: Shingles that one task counts at a time before it passes on the repeated ones.
 COUNTED = 1_500_000
 
@@ -111,11 +113,31 @@ _ENTRY = np.dtype([("sig", "<i8"), ("n", "<u4"), ("cnt", "<u4")])
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> DataFrame:
-    """Per piece of the input and fragment, the prefix parts of its sets; and (doc_id, n, signature) of all rows."""
+    """Per part of the input and fragment, the prefix parts of its sets; and (doc_id, n, signature) of all rows."""
+
+    def flush(held: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
+        frag, token, sig, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(frag, kind="stable")
+        cut = np.searchsorted(frag[order], np.arange(fragments + 1))
+        keys, blobs = [], []
+        for f in np.flatnonzero(np.diff(cut)).tolist():
+            o = order[cut[f] : cut[f + 1]]
+            own = sig[o]
+            s = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            head = np.zeros(len(s), _ENTRY)
+            head["sig"], head["n"], head["cnt"] = own[s], n[o[s]], np.diff(np.r_[s, len(o)])
+            keys.append(f)
+            blobs.append(np.uint32(len(s)).tobytes() + head.tobytes() + token[o].tobytes())
+        ids, ns, sigs = pa.concat_arrays([x[0] for x in rows]), *(np.concatenate([x[i] for x in rows]) for i in (1, 2))
+        none = pa.nulls(len(keys), pa.list_(pa.int64()))
+        last = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(x, pa.int64())) for x in (ids, ns, sigs)]
+        where = int(abs(int(sigs[0])) % fragments)
+        return pa.RecordBatch.from_arrays([pa.array([*keys, where], pa.int32()), pa.array([*blobs, None], pa.binary()), *(pa.concat_arrays([none, x]) for x in last)], ["frag", "prefix", "ids", "ns", "sigs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, l = freq.value
-        turn = 0
+        held: list[tuple] = []
+        rows: list[tuple] = []
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             for a, b, buf, off in arrays.text_pieces(batch, "text", 2 * arrays.PIECE_BYTES):
@@ -123,7 +145,6 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
                 n = np.bincount(row, minlength=b - a).astype(np.int64)
                 first = np.cumsum(n) - n
                 sig = _signature(value, n, first)
-                frags, blobs = [], []
                 one = np.zeros(b - a, bool)
                 one[np.unique(sig, return_index=True)[1]] = True
                 null = np.asarray(ids.slice(a, b - a).is_null())
@@ -133,33 +154,16 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
                         same = np.flatnonzero((sig == s) & ~null)[:1]
                         take[same] = np.where(n[same] > 0, n[same] - _need(n[same], percent) + 1, 0)
                 at = arrays.ragged(first, take)
-                key = (place[at] & np.uint64((1 << 58) - 1)) >> np.uint64(58 - 20)
-                frag = (key * np.uint64(fragments)) >> np.uint64(20)
+                key = (place[at] & np.uint64((1 << 58) - 1)) >> np.uint64(58 - 32)
+                frag = ((key * np.uint64(fragments)) >> np.uint64(32)).astype(np.int32)
                 mine = np.repeat(np.arange(b - a), take)
-                order = np.argsort(frag, kind="stable")
-                cut = np.searchsorted(frag[order], np.arange(fragments + 1))
-                for f in range(fragments):
-                    o = order[cut[f] : cut[f + 1]]
-                    if len(o):
-                        who = mine[o]
-                        s = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-                        head = np.zeros(len(s), _ENTRY)
-                        head["sig"], head["n"], head["cnt"] = sig[who[s]], n[who[s]], np.diff(np.r_[s, len(o)])
-                        frags.append(f)
-                        blobs.append(np.uint32(len(s)).tobytes() + head.tobytes() + (place[at[o]] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
-                rows = len(frags)
-                turn += 1
-                id_list = pa.array([None] * rows + [ids.slice(a, b - a).cast(pa.int64()).to_pylist()], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([*frags, (a + turn) % fragments], pa.int32()),
-                        pa.array([*blobs, None], pa.binary()),
-                        id_list,
-                        pa.array([None] * rows + [n], pa.list_(pa.int64())),
-                        pa.array([None] * rows + [sig], pa.list_(pa.int64())),
-                    ],
-                    ["frag", "prefix", "ids", "ns", "sigs"],
-                )
+                held.append((frag, (place[at] & np.uint64(0xFFFFFFFF)).astype("<u4"), sig[mine], n[mine].astype(np.uint32)))
+                rows.append((ids.slice(a, b - a).cast(pa.int64()), n, sig))
+                if sum(len(x[0]) for x in held) > HELD:
+                    yield flush(held, rows)
+                    held, rows = [], []
+        if rows:
+            yield flush(held, rows)
 
     return docs.select("doc_id", "text").mapInArrow(run, "frag int, prefix binary, ids array<long>, ns array<long>, sigs array<long>")
 
@@ -195,8 +199,16 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.nulls(len(sig[s]), pa.int64()), pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32))], names)
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent: int, fragments: int) -> DataFrame:
-    """The pairs (a, b, na, nb) of signatures whose exact overlap, summed over fragments, reaches the threshold."""
+def _level(n: int) -> int:
+    return ((n - 1) // PART).bit_length()
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) of signatures whose exact overlap, summed over fragments, reaches the threshold.
+
+    A pair is cut into 2**level fragments, by the size of its larger set; a set is held at the levels that its
+    possible partners ask for, which are one or two.
+    """
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     bloom = shared.bloom(nodes.join(wanted, "sig").select(F.col("least").alias("id")))
 
@@ -213,14 +225,14 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
                     if int(sig[i]) in seen:
                         continue
                     seen.add(int(sig[i]))
-                    own = value[first[i] : first[i] + n[i]]
-                    frag = (own >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
-                    cut = np.searchsorted(frag, np.arange(fragments + 1))
-                    for f in range(fragments):
-                        if cut[f] < cut[f + 1]:
-                            sigs.append(int(sig[i]))
-                            frags.append(f)
-                            blobs.append(own[cut[f] : cut[f + 1]].tobytes())
+                    own, size = value[first[i] : first[i] + n[i]], int(n[i])
+                    for level in {_level(size), _level(size * 100 // percent + 1)}:
+                        cut = np.searchsorted(own >> np.uint64(64 - level) if level else np.zeros(size, np.uint64), np.arange((1 << level) + 1, dtype=np.uint64))
+                        for f in range(1 << level):
+                            if cut[f] < cut[f + 1]:
+                                sigs.append(int(sig[i]))
+                                frags.append((level << 26) + f)
+                                blobs.append(own[cut[f] : cut[f + 1]].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(frags, pa.int32()), pa.array(blobs, pa.binary())], ["sig", "frag", "part"])
 
     def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +243,9 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
     parts = shared.maybe(docs.filter(F.col("doc_id").isNotNull()), bloom).mapInArrow(segments, "sig long, frag int, part binary")
     parts = parts.join(wanted, "sig").dropDuplicates(["sig", "frag"])
     parts = shared.save(parts, "segments")
-    split = pairs.select("a", "b", "na", "nb", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("frag"))
+    over = F.floor((F.greatest("na", "nb") - 1) / PART).cast("long")
+    level = F.when(over > 0, F.length(F.bin(over))).otherwise(0)
+    split = pairs.withColumn("level", level).selectExpr("a", "b", "na", "nb", "explode(sequence(shiftleft(level, 26), shiftleft(level, 26) + shiftleft(1, level) - 1)) AS frag")
     left = parts.select(F.col("sig").alias("a"), "frag", F.col("part").alias("pa"))
     right = parts.select(F.col("sig").alias("b"), "frag", F.col("part").alias("pb"))
     met = split.join(left, ["a", "frag"]).join(right, ["b", "frag"]).select("a", "b", "na", "nb", "pa", "pb")
@@ -341,7 +355,7 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
     return _possible(joined.union(met).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent)
 
 
-def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 2) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 1) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two texts are linked when ``100 * intersection >= percent * union`` of their sets of distinct ``k``-word
@@ -355,10 +369,10 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int
     spark = docs.sparkSession
     shared.ship(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    fragments = fragments or max(8, min(1024, shared.parts(spark) // 2))
+    fragments = fragments or shared.parts(spark)
     freq = spark.sparkContext.broadcast(_frequent(docs, k))
     pieces = _prefixes(docs, k, percent, fragments, freq)
-    found = shared.save(pieces.repartition(shared.parts(spark), "frag").mapInArrow(_shared_shingles, "doc_id long, sig long, n long, token long"), "shingles")
+    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(_shared_shingles, "doc_id long, sig long, n long, token long"), "shingles")
     rows = found.filter(F.col("token").isNull()).select("doc_id", "sig", "n")
     tokens = found.filter(F.col("token").isNotNull()).select("token", "sig", "n")
     nodes = shared.save(rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sig").agg(F.min("doc_id").alias("least")), "nodes")
@@ -381,7 +395,7 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int
         pairs = shared.save(pairs, "pairs")
         if not pairs.isEmpty():
             tried.append(pairs)
-            links.append(_verified(docs, nodes, pairs, k, percent, PARTS))
+            links.append(_verified(docs, nodes, pairs, k, percent))
             labels = shared.save(components(reduce(DataFrame.union, [x.select("a", "b") for x in links])), "labels")
             now = live.select("token", "sig", "n").join(labels, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("comp"))
         else:
