@@ -199,8 +199,8 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.nulls(len(sig[s]), pa.int64()), pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32))], names)
 
 
-def _level(n: int) -> int:
-    return ((n - 1) // PART).bit_length()
+def _level(n: int, part: int) -> int:
+    return ((n - 1) // part).bit_length()
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -209,6 +209,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
     A pair is cut into 2**level fragments, by the size of its larger set; a set is held at the levels that its
     possible partners ask for, which are one or two.
     """
+    part = PART
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     bloom = shared.bloom(nodes.join(wanted, "sig").select(F.col("least").alias("id")))
 
@@ -226,7 +227,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
                         continue
                     seen.add(int(sig[i]))
                     own, size = value[first[i] : first[i] + n[i]], int(n[i])
-                    for level in {_level(size), _level(size * 100 // percent + 1)}:
+                    for level in {_level(size, part), _level(size * 100 // percent + 1, part)}:
                         cut = np.searchsorted(own >> np.uint64(64 - level) if level else np.zeros(size, np.uint64), np.arange((1 << level) + 1, dtype=np.uint64))
                         for f in range(1 << level):
                             if cut[f] < cut[f + 1]:
@@ -243,7 +244,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
     parts = shared.maybe(docs.filter(F.col("doc_id").isNotNull()), bloom).mapInArrow(segments, "sig long, frag int, part binary")
     parts = parts.join(wanted, "sig").dropDuplicates(["sig", "frag"])
     parts = shared.save(parts, "segments")
-    over = F.floor((F.greatest("na", "nb") - 1) / PART).cast("long")
+    over = F.floor((F.greatest("na", "nb") - 1) / part).cast("long")
     level = F.when(over > 0, F.length(F.bin(over))).otherwise(0)
     split = pairs.withColumn("level", level).selectExpr("a", "b", "na", "nb", "explode(sequence(shiftleft(level, 26), shiftleft(level, 26) + shiftleft(1, level) - 1)) AS frag")
     left = parts.select(F.col("sig").alias("a"), "frag", F.col("part").alias("pa"))

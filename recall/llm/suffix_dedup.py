@@ -122,53 +122,58 @@ def _collect(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, runs binary, doc array<long>, ver array<long>, at array<long>, n array<long>")
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In one bucket: marks (key null) of snippets that occurred before, and the snippets to fetch (key set)."""
-    names = ["doc", "ver", "at", "n", "key", "hot"]
-    got: dict[int, list] = {}
-    for batch in batches:
-        for bucket, blob, doc, ver, at, n in zip(*(batch.column(i) for i in range(6)), strict=True):
-            if blob.is_valid:
-                raw = blob.as_buffer()
-                m = int(np.frombuffer(raw, "<u4", 1)[0])
-                d = np.frombuffer(raw, _DOC, m, 4)
-                got.setdefault(bucket.as_py(), []).append((d, np.frombuffer(raw, _RUN, -1, 4 + m * _DOC.itemsize)))
-            elif len(doc.values):
-                none = len(doc.values)
-                yield pa.RecordBatch.from_arrays([doc.values, ver.values, at.values, n.values, pa.nulls(none, pa.int64()), pa.array(np.zeros(none, bool))], names)
-    for bucket, pairs in got.items():
-        d = np.concatenate([x for x, _ in pairs])
-        r = np.concatenate([x for _, x in pairs])
-        del pairs[:]
-        who = np.repeat(np.arange(len(d)), d["cnt"])
-        count = np.sort(r["h"])
-        again = np.unique(count[1:][count[1:] == count[:-1]])
-        if not len(again):
-            continue
-        near = np.minimum(np.searchsorted(again, r["h"]), len(again) - 1)
-        live = np.flatnonzero(again[near] == r["h"])
-        r, who = r[live], who[live]
-        doc, ver, at = d["doc"][who], d["ver"][who], r["at"].astype(np.int64)
-        order = np.lexsort((at, ver, doc, r["s"], r["h"]))
-        r, doc, ver, at = r[order], doc[order], ver[order], at[order]
-        new_h = np.r_[True, r["h"][1:] != r["h"][:-1]]
-        new_s = new_h | np.r_[True, r["s"][1:] != r["s"][:-1]]
-        lead = np.maximum.accumulate(np.where(new_s, np.arange(len(r)), 0))
-        gone = ~new_s & ~((doc == doc[lead]) & (ver == ver[lead]) & (at == at[lead]))
-        group = np.cumsum(new_h) - 1
-        kinds = np.bincount(group, weights=new_s).astype(np.int64)
-        turn = np.cumsum(new_s) - 1
-        turn -= turn[np.flatnonzero(new_h)][group]
-        fetch = new_s & (kinds[group] > 1)
-        hot = kinds[group] > HOT
-        key = (np.int64(bucket) << 32) + r["h"].astype(np.int64)
-        key = np.where(hot, arrays.mix((key + (turn // HOT << 48)).view(np.uint64)).view(np.int64), key)
-        take = np.flatnonzero(gone | fetch)
-        for i in range(0, len(take), 1 << 16):
-            t = take[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[t]), pa.array(ver[t]), pa.array(at[t]), pa.array(r["n"][t].astype(np.int64)), pa.array(key[t], mask=~fetch[t]), pa.array(hot[t] & fetch[t])], names
-            )
+def _judge(most: int):
+    """In one bucket: marks (key null) of snippets that occurred before, and the snippets to fetch (key set);
+    a minimizer with over ``most`` different ones is dealt over several keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc", "ver", "at", "n", "key", "hot"]
+        got: dict[int, list] = {}
+        for batch in batches:
+            for bucket, blob, doc, ver, at, n in zip(*(batch.column(i) for i in range(6)), strict=True):
+                if blob.is_valid:
+                    raw = blob.as_buffer()
+                    m = int(np.frombuffer(raw, "<u4", 1)[0])
+                    d = np.frombuffer(raw, _DOC, m, 4)
+                    got.setdefault(bucket.as_py(), []).append((d, np.frombuffer(raw, _RUN, -1, 4 + m * _DOC.itemsize)))
+                elif len(doc.values):
+                    none = len(doc.values)
+                    yield pa.RecordBatch.from_arrays([doc.values, ver.values, at.values, n.values, pa.nulls(none, pa.int64()), pa.array(np.zeros(none, bool))], names)
+        for bucket, pairs in got.items():
+            d = np.concatenate([x for x, _ in pairs])
+            r = np.concatenate([x for _, x in pairs])
+            del pairs[:]
+            who = np.repeat(np.arange(len(d)), d["cnt"])
+            count = np.sort(r["h"])
+            again = np.unique(count[1:][count[1:] == count[:-1]])
+            if not len(again):
+                continue
+            near = np.minimum(np.searchsorted(again, r["h"]), len(again) - 1)
+            live = np.flatnonzero(again[near] == r["h"])
+            r, who = r[live], who[live]
+            doc, ver, at = d["doc"][who], d["ver"][who], r["at"].astype(np.int64)
+            order = np.lexsort((at, ver, doc, r["s"], r["h"]))
+            r, doc, ver, at = r[order], doc[order], ver[order], at[order]
+            new_h = np.r_[True, r["h"][1:] != r["h"][:-1]]
+            new_s = new_h | np.r_[True, r["s"][1:] != r["s"][:-1]]
+            lead = np.maximum.accumulate(np.where(new_s, np.arange(len(r)), 0))
+            gone = ~new_s & ~((doc == doc[lead]) & (ver == ver[lead]) & (at == at[lead]))
+            group = np.cumsum(new_h) - 1
+            kinds = np.bincount(group, weights=new_s).astype(np.int64)
+            turn = np.cumsum(new_s) - 1
+            turn -= turn[np.flatnonzero(new_h)][group]
+            fetch = new_s & (kinds[group] > 1)
+            hot = kinds[group] > most
+            key = (np.int64(bucket) << 32) + r["h"].astype(np.int64)
+            key = np.where(hot, arrays.mix((key + (turn // most << 48)).view(np.uint64)).view(np.int64), key)
+            take = np.flatnonzero(gone | fetch)
+            for i in range(0, len(take), 1 << 16):
+                t = take[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[t]), pa.array(ver[t]), pa.array(at[t]), pa.array(r["n"][t].astype(np.int64)), pa.array(key[t], mask=~fetch[t]), pa.array(hot[t] & fetch[t])], names
+                )
+
+    return run
 
 
 def _fetch(length: int):
@@ -285,7 +290,7 @@ def _kept(length: int, extra: list[str]):
     return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = None) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = None, hot_snippets: int = HOT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
 
     Every byte is removed that a ``length``-byte string covers which also starts earlier: in a document with a
@@ -307,7 +312,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = N
     parts = shared.parts(spark)
     buckets = parts
     schema = "doc long, ver long, at long, n long, key long, hot boolean"
-    marks = shared.save(_collect(docs, length, buckets).repartitionById(parts, "bucket").mapInArrow(_judge, schema), "marks")
+    marks = shared.save(_collect(docs, length, buckets).repartitionById(parts, "bucket").mapInArrow(_judge(hot_snippets), schema), "marks")
     known = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text")
     want = marks.filter(F.col("key").isNotNull())
     first = shared.maybe(known, shared.bloom(want.select(F.col("doc").alias("id"))))

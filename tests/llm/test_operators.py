@@ -65,16 +65,15 @@ def test_common_prefixes():
         assert got[order[i]] == next((j for j in range(20) if x[j] != y[j]), 20)
 
 
-def check_dedup(spark, rows, length=100):
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.suffix_dedup(frame(spark, rows), length).collect()}
+def check_dedup(spark, rows, length=100, **more):
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.suffix_dedup(frame(spark, rows), length, **more).collect()}
     assert got == brute.without_repeats(rows, length)
 
 
 @pytest.mark.parametrize("hot", [20_000, 2])
-def test_dedup_of_documents(spark, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+def test_dedup_of_documents(spark, hot):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, "documents").filter("doc_id < 90").collect()]
-    check_dedup(spark, rows)
+    check_dedup(spark, rows, hot_snippets=hot)
 
 
 def test_dedup_of_planted_passages(spark):
@@ -82,6 +81,7 @@ def test_dedup_of_planted_passages(spark):
     passage = prose(rng, 60)
     rows = [(i, prose(rng, rng.randint(0, 40)) + passage[rng.randint(0, 9) :] + prose(rng, 20) + "ab" * rng.randint(0, 120)) for i in range(25)]
     check_dedup(spark, [*rows, (None, passage), (99, None), (98, "")])
+    check_dedup(spark, rows, hot_snippets=2)
 
 
 def test_dedup_of_repeated_rows(spark):
