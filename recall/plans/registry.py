@@ -124,12 +124,12 @@ def _(spark, d):
 @query(
     "vector_multi",
     f"""WITH met AS (SELECT q.vec_id AS query_id, CAST(b.vec_id AS VARCHAR) AS memory_id, {_cosine("b.embedding", "q.embedding")} AS distance
-        FROM embeddings b JOIN embeddings q ON q.vec_id < 5)
+        FROM embeddings b JOIN embeddings q ON q.vec_id % 100 = 0)
         SELECT query_id, memory_id, round(distance, 6) + 0.0::DOUBLE AS distance, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, memory_id) AS rank FROM met) WHERE rank <= 8""",
 )
 def _(spark, d):
     e = X.table(spark, d, "embeddings")
-    queries = e.filter(F.col("vec_id") < 5).select(F.col("vec_id").alias("query_id"), "embedding")
+    queries = e.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
     return _rounded(search.nearest_many(e.select(F.col("vec_id").cast("string").alias("memory_id"), "embedding"), queries, 8))
 
 
@@ -377,10 +377,9 @@ def _(spark, d):
 
 @query("local_scan")
 def _(spark, d):
-    """Facts from a SQLite file, which is made here from the tables' smallest ids."""
-    rows = X.table(spark, d, "documents").filter(F.col("doc_id") < 100).select("doc_id", "text").orderBy("doc_id").limit(100).collect()
+    """The first 50 rows of a SQLite file, which is made here from all documents, row by row."""
     home = tempfile.mkdtemp(prefix="recall-local-")
     with sqlite3.connect(f"{home}/memory.db") as db:
         db.execute("CREATE TABLE memories (id INTEGER, content TEXT)")
-        db.executemany("INSERT INTO memories VALUES (?, ?)", [tuple(r) for r in rows])
+        db.executemany("INSERT INTO memories VALUES (?, ?)", map(tuple, X.table(spark, d, "documents").select("doc_id", "text").toLocalIterator()))
     return local.read_local(spark, home, 50)
