@@ -33,7 +33,7 @@ FREQUENT = 400_000
 TOP = 3
 #: Shingles of a set, on average, in one fragment when whole sets are compared (rounded up to a power-of-two number).
 PART = 1024
-#: Members of a bucket up to which its pairs are joined; those of larger ones are compared in place.
+#: Members of a bucket up to which its pairs are listed; those of larger ones are compared in place.
 SMALL = 48
 #: Members of a bucket that one task compares at a time.
 CELL = 2000
@@ -267,17 +267,20 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
 def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
     """All pairs (a, b, na, nb, c) of different components that share enough prefix shingles to be possible links.
 
-    ``live`` holds every shingle that two components share.  Pairs in small buckets are joined.  A row of a large
+    ``live`` holds every shingle that two components share.  Pairs in small buckets are listed there.  A row of a large
     bucket takes along its shingles in large buckets, so the common ones of two members are counted where they
     meet, and a pair is passed on only in the bucket of its least common shingle, and only if it can be a link
     whatever it shares in small buckets.  With ``top``, of each member only its ``top`` pairs with the most common
     shingles in a large bucket.  Buckets of over ``CELL`` members are cut into cells of two blocks each.
     """
     small = F.col("m") <= SMALL
-    x = live.filter(small).select("token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = live.filter(small).select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    joined = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
+    member = F.struct("sig", "n", "comp")
+    groups = live.filter(small).groupBy("token").agg(F.collect_list(member).alias("g"))  # of SMALL members at most
+    fits = lambda x, y: (x["n"] * 100 >= y["n"] * percent) & (y["n"] * 100 >= x["n"] * percent)
+    pair = lambda x, y: F.struct(x["sig"].alias("a"), y["sig"].alias("b"), x["n"].alias("na"), y["n"].alias("nb"))
+    later = lambda x: F.filter("g", lambda y: (x["sig"] < y["sig"]) & (x["comp"] != y["comp"]) & fits(x, y))
+    made = groups.select(F.explode(F.flatten(F.transform("g", lambda x: F.transform(later(x), lambda y: pair(x, y))))).alias("p"))
+    joined = made.select("p.*").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
     lists = live.groupBy("sig").agg(F.collect_list(F.when(~small, F.col("token"))).alias("own"), F.count(F.when(small, 1)).alias("spare"))
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     block = F.pmod(F.xxhash64("sig"), blocks).cast("int")
