@@ -8,8 +8,8 @@ Spark adds up from the tasks' partial sums, so a host with a third of all pages
 
 Extraction walks a page again.  Text that belongs to the template is not content; what is left are slots.  A slot
 is kept unless one of its elements is boilerplate by tag, role or class (menu, header, footer, sidebar, notice,
-advert, form, script, comments); if a page has an article or main element, only slots inside it count, and
-there even text that all pages share is content.
+advert, form, script, comments); if a page has an article or main element, only slots inside it count.  Pages of a
+host with the same html count as one page, so a page's copies don't make its text a template.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ class Page:
         end_block()
 
     def text(self, template: frozenset | set) -> str:
-        return "\n".join(t for t, token, bad, mark in self.blocks if not bad and (mark if self.landmark else token not in template))
+        return "\n".join(t for t, token, bad, mark in self.blocks if not bad and (mark or not self.landmark) and token not in template)
 
 
 def host_of(url: Column) -> Column:
@@ -211,9 +211,20 @@ def _occurrences(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.pmod(whole, F.lit(1 << 62).cast("decimal(20,0)")).cast("long").alias("print"), F.min("within").alias("within"))
 
 
+def _once(pages: DataFrame) -> DataFrame:
+    """``pages`` with one row for each host and html; only rows that have copies are moved."""
+    pages = pages.withColumn("same", F.xxhash64("html"))
+    copied = shared.save(pages.groupBy("host", "same").agg(F.count("*").alias("n")).filter(F.col("n") > 1).drop("n"), "copied")
+    if copied.isEmpty():
+        return pages.drop("same")
+    single = pages.join(copied, ["host", "same"], "left_anti")
+    first = pages.join(copied, ["host", "same"], "left_semi").dropDuplicates(["host", "same"])
+    return single.unionByName(first).drop("same")
+
+
 def _template(pages: DataFrame) -> DataFrame:
     """(host, token) of all valid classes: frequent, large, and each member inside the page or another member."""
-    all_ = _occurrences(pages).filter((F.col("pages") >= PAGES) | (F.col("token") == 0))
+    all_ = _occurrences(_once(pages)).filter((F.col("pages") >= PAGES) | (F.col("token") == 0))
     all_ = shared.save(all_, "tokens")
     size = all_.filter(F.col("token") == 0).select("host", F.col("pages").alias("of"))
     often = all_.filter(F.col("token") != 0).join(size, "host").filter((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("of")))

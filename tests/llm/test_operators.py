@@ -273,6 +273,15 @@ def test_main_text_joined_templates(spark, monkeypatch):
     assert want[0][2] == "own 0"
 
 
+def test_main_text_template_inside_landmarks(spark):
+    article = "<main><p>share this</p><p>our newsroom</p><p>all rights reserved</p><p>own {}</p></main>"
+    rows = [(i, "http://c.d/", article.replace("{}", str(i))) for i in range(5)]
+    rows += [(10 + i, "http://e.f/", article) for i in range(5)]  # copies are one page, not a template
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(5)] == [f"own {i}" for i in range(5)]
+    assert {got[10 + i] for i in range(5)} == {"share this\nour newsroom\nall rights reserved\nown {}"}
+
+
 def test_url_filter(spark):
     pages = table(spark, "pages", "/root/testdata/sf0.01").select("page_id", "url")
     odd = [(9001, None), (9002, "abc"), (9003, "HTTP://Ex.Org/ES/x?y"), (9004, "http://a.example.org/es/"), (9005, "http://org"), (9006, "x://ORG/q#z"), (9007, "http://a.b.com?x=/de/")]
