@@ -2,7 +2,8 @@
 
 Pages of one host come from few templates.  A token is an opening tag with its place (the path of open elements)
 or a whole text block.  Tokens whose occurrence vectors over the host's pages are equal form an equivalence
-class; classes that occur on most pages, are large enough, and whose members nest in each other are the template.
+class; classes that occur on enough pages and are large enough are the template.  A token's hash holds the path of
+open elements, so its members lie in elements that are on all of the same pages.
 A vector is never built: its fingerprint, the sum over pages of count times a hash of the page, is a sum that
 Spark adds up from the tasks' partial sums, so a host with a third of all pages costs no more in one place.
 
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-#: A class belongs to the template if it is on at least this share of the host's pages, on so many pages, and so large.
-SHARE, PAGES, MEMBERS = 0.5, 3, 3
-#: Template tokens (8 bytes each) that are sent to every task; beyond, templates are joined to pages by host.
+#: A class belongs to the template if it has so many members and is on ``PAGES`` pages that are also this share of the
+#: host's, or on ``SUPPORT`` pages of a host of any size.
+SHARE, PAGES, MEMBERS, SUPPORT = 0.5, 3, 3, 10
+#: Template tokens (8 bytes each) that are sent to every task, the most frequent; pages are joined to the rest by host and token.
 SENT = 1_000_000
 
 # Elements by what they hold.
@@ -83,7 +85,6 @@ class Page:
     def __init__(self, source: str):
         self.tokens: list[int] = []
         self.blocks: list[tuple[str, int, bool, bool]] = []  # text, token, in boilerplate, in a landmark
-        self.nested: dict[int, int] = {}  # token of an opening tag -> token of the element it lies in
         self.landmark = False
         stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, landmark, path
         inline: list[str] = []
@@ -99,7 +100,6 @@ class Page:
                 bad, mark, path = place
                 token = xxhash.xxh3_64_intdigest(f"{path}\x00{text}")
                 self.tokens.append(token)
-                self.nested[token] = path
                 self.blocks.append((text, token, bad, mark))
 
         def now() -> tuple[bool, bool, int]:
@@ -149,7 +149,6 @@ class Page:
             named, bad = _signs(attributes)
             path = xxhash.xxh3_64_intdigest(f"{path0}>{tag} {named}")
             self.tokens.append(path)
-            self.nested.setdefault(path, path0)
             if tag in RAW:
                 raw = None if attributes.rstrip().endswith("/") and tag not in ("script", "style", "title", "textarea") else tag
                 place = now()
@@ -161,8 +160,8 @@ class Page:
             place = now()
         end_block()
 
-    def text(self, template: frozenset | set) -> str:
-        return "\n".join(t for t, token, bad, mark in self.blocks if not bad and (mark or not self.landmark) and token not in template)
+    def text(self, template: frozenset | set, rest: frozenset | set = frozenset()) -> str:
+        return "\n".join(t for t, token, bad, mark in self.blocks if not bad and (mark or not self.landmark) and token not in template and token not in rest)
 
 
 def host_of(url: Column) -> Column:
@@ -176,7 +175,7 @@ def _signed(x: int) -> int:
 
 
 def _occurrences(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages that have it, occurrences, fingerprint of its occurrence vector, enclosing token."""
+    """Per host and token: pages that have it, occurrences, fingerprint of its occurrence vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, int], list[int]] = {}
@@ -184,9 +183,9 @@ def _occurrences(pages: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             keys = list(sums)
             columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([_signed(k[1]) for k in keys], pa.int64())]
-            columns += [pa.array([_signed(sums[k][i] & (2**64 - 1)) for k in keys], pa.int64()) for i in range(4)]
+            columns += [pa.array([_signed(sums[k][i] & (2**64 - 1)) for k in keys], pa.int64()) for i in range(3)]
             sums.clear()
-            return pa.RecordBatch.from_arrays(columns, ["host", "token", "pages", "total", "print", "within"])
+            return pa.RecordBatch.from_arrays(columns, ["host", "token", "pages", "total", "print"])
 
         for batch in batches:
             for host, uid, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -198,7 +197,7 @@ def _occurrences(pages: DataFrame) -> DataFrame:
                 for token, n in count.items():
                     own = sums.get((host, token))
                     if own is None:
-                        own = sums[(host, token)] = [0, 0, 0, page.nested.get(token, 0)]
+                        own = sums[(host, token)] = [0, 0, 0]
                     own[0] += 1
                     own[1] += n
                     own[2] += n * (uid & (2**64 - 1))
@@ -206,9 +205,9 @@ def _occurrences(pages: DataFrame) -> DataFrame:
                 yield flush()
         yield flush()
 
-    parts = pages.select("host", F.xxhash64("page_id", "html").alias("uid"), "html").mapInArrow(run, "host string, token long, pages long, total long, print long, within long")
+    parts = pages.select("host", F.xxhash64("page_id", "html").alias("uid"), "html").mapInArrow(run, "host string, token long, pages long, total long, print long")
     whole = F.sum(F.col("print").cast("decimal(20,0)"))
-    return parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.pmod(whole, F.lit(1 << 62).cast("decimal(20,0)")).cast("long").alias("print"), F.min("within").alias("within"))
+    return parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.pmod(whole, F.lit(1 << 62).cast("decimal(20,0)")).cast("long").alias("print"))
 
 
 def _once(pages: DataFrame) -> DataFrame:
@@ -223,17 +222,28 @@ def _once(pages: DataFrame) -> DataFrame:
 
 
 def _template(pages: DataFrame) -> DataFrame:
-    """(host, token) of all valid classes: frequent, large, and each member inside the page or another member."""
+    """(host, token, pages) of all valid classes: frequent and large."""
     all_ = _occurrences(_once(pages)).filter((F.col("pages") >= PAGES) | (F.col("token") == 0))
     all_ = shared.save(all_, "tokens")
     size = all_.filter(F.col("token") == 0).select("host", F.col("pages").alias("of"))
-    often = all_.filter(F.col("token") != 0).join(size, "host").filter((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("of")))
+    often = all_.filter(F.col("token") != 0).join(size, "host").filter((F.col("pages") >= PAGES) & (F.col("pages") >= F.least(SHARE * F.col("of"), F.lit(SUPPORT))))
     often = shared.save(often.drop("of"), "often")
     classes = often.groupBy("host", "pages", "total", "print").agg(F.count("*").alias("members")).filter(F.col("members") >= MEMBERS).drop("members")
     valid = often.join(classes, ["host", "pages", "total", "print"])
-    inside = often.select("host", F.col("token").alias("within"))
-    nested = valid.join(inside, ["host", "within"], "left_semi").union(valid.filter(F.col("within") == 0).select("host", "within", "pages", "total", "print", "token"))
-    return shared.save(nested.select("host", "token").distinct(), "template")
+    return shared.save(valid.select("host", "token", "pages"), "template")
+
+
+def _found(pages: DataFrame, template: DataFrame) -> DataFrame:
+    """(host, uid, tokens): the tokens of ``template`` among the text blocks of each page that has some."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [[_signed(x) for x in sorted({token for _, token, _, _ in Page(source or "").blocks})] for source in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int64()))], ["host", "uid", "tokens"])
+
+    own = pages.select("host", "uid", "html").mapInArrow(blocks, "host string, uid long, tokens array<long>")
+    own = own.select("host", "uid", F.explode("tokens").alias("token")).join(template, ["host", "token"], "left_semi")
+    return own.groupBy("host", "uid").agg(F.collect_set("token").alias("tokens"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -251,21 +261,27 @@ def main_text(pages: DataFrame) -> DataFrame:
     template = _template(pages)
     out = "page_id long, url string, text string, n_chars long"
 
-    def extract(tokens_of):
+    def extract(rest: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = [Page(source or "").text(tokens_of(batch, i)) for i, source in enumerate(batch.column(3).to_pylist())]
+                texts = []
+                for i, source in enumerate(batch.column(3).to_pylist()):
+                    more = {x % (1 << 64) for x in batch.column(4)[i].as_py() or ()} if rest else none
+                    texts.append(Page(source or "").text(sent.value.get(batch.column(2)[i].as_py(), none), more))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
         return run
 
-    if template.count() <= SENT:
-        by: dict[str, set[int]] = defaultdict(set)
-        for r in template.collect():
-            by[r["host"]].add(r["token"] % (1 << 64))
-        sent = spark.sparkContext.broadcast(dict(by))
-        none: frozenset = frozenset()
-        return pages.select("page_id", "url", "host", "html").mapInArrow(extract(lambda batch, i: sent.value.get(batch.column(2)[i].as_py(), none)), out)
-    lists = template.groupBy("host").agg(F.collect_list("token").alias("tokens"))
-    joined = pages.join(lists, "host", "left").select("page_id", "url", "tokens", "html")
-    return joined.mapInArrow(extract(lambda batch, i: {x % (1 << 64) for x in batch.column(2)[i].as_py() or ()}), out)
+    none: frozenset = frozenset()
+    by: dict[str, set[int]] = defaultdict(set)
+    whole = template.count() <= SENT
+    most = template if whole else template.orderBy(F.desc("pages"), "host", "token").limit(SENT)
+    for r in most.collect():
+        by[r["host"]].add(r["token"] % (1 << 64))
+    sent = spark.sparkContext.broadcast(dict(by))
+    if whole:
+        return pages.select("page_id", "url", "host", "html").mapInArrow(extract(False), out)
+    rest = template.join(shared.save(most.select("host", "token"), "sent"), ["host", "token"], "left_anti")
+    pages = pages.withColumn("uid", F.xxhash64("page_id", "html"))
+    joined = pages.join(shared.save(_found(pages, rest), "found"), ["host", "uid"], "left")
+    return joined.select("page_id", "url", "host", "html", "tokens").mapInArrow(extract(True), out)

@@ -282,6 +282,16 @@ def test_main_text_template_inside_landmarks(spark):
     assert {got[10 + i] for i in range(5)} == {"share this\nour newsroom\nall rights reserved\nown {}"}
 
 
+@pytest.mark.parametrize("sent", [1_000_000, 7, 0])
+def test_main_text_of_many_templates(spark, monkeypatch, sent):
+    """Four templates on a host: none is on half of its pages."""
+    monkeypatch.setattr(html_extract, "SENT", sent)
+    page = "<div><p>first of {t}</p><p>second of {t}</p><p>third of {t}</p><p>own {i}</p></div>"
+    rows = [(i, "http://c.d/", page.replace("{t}", "abcd"[i % 4]).replace("{i}", str(i))) for i in range(48)]
+    got = html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"own {i}" for i in range(48)}
+
+
 def test_url_filter(spark):
     pages = table(spark, "pages", "/root/testdata/sf0.01").select("page_id", "url")
     odd = [(9001, None), (9002, "abc"), (9003, "HTTP://Ex.Org/ES/x?y"), (9004, "http://a.example.org/es/"), (9005, "http://org"), (9006, "x://ORG/q#z"), (9007, "http://a.b.com?x=/de/")]
