@@ -1,6 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, then exact weighted-shingle similarity.
 
-A benchmark item of m words is looked for in every window of m words of every text.  Windows that share too
+A benchmark item of m words is looked for in every window of m words of every text; a text of fewer words is one
+window.  Windows that share too
 little weight with all items of their size cannot reach the threshold and are skipped (a sum over the shingles
 of any item).  For the others a 64-bit SimHash is taken from running sums.  Fingerprints are cut into 8 blocks
 of 8 bits: if two differ in at most ``RADIUS`` = 23 bits, some block differs in at most 2, so an index of each
@@ -128,14 +129,18 @@ class Items:
 def _matches(items: Items, hashes: np.ndarray, least: float) -> dict[int, tuple[float, int, int, int]]:
     """Items found in one text (word hashes): item -> (similarity, distance, first word, words)."""
     k, out = items.k, {}
+    of: dict[int, tuple[np.ndarray, ...]] = {}
     for n in sorted(items.by):
         size = min(k, n)
-        if len(hashes) < n:
+        words = min(n, len(hashes))
+        if words < size:
             continue
-        grams = arrays.window_hash(hashes, size)
-        weight, own = items.weights(grams)
-        span = n - size + 1
-        run = np.concatenate([[0.0], np.cumsum(own)])
+        if size not in of:
+            grams = arrays.window_hash(hashes, size)
+            weight, own = items.weights(grams)
+            of[size] = grams, weight, np.concatenate([[0.0], np.cumsum(own)])
+        grams, weight, run = of[size]
+        span = words - size + 1
         starts = np.flatnonzero(run[span:] - run[:-span] >= least * items.total[items.by[n]].min() - 1e-6)
         for lo in range(0, len(starts), SPAN):
             at = starts[lo : lo + SPAN]
@@ -148,12 +153,12 @@ def _matches(items: Items, hashes: np.ndarray, least: float) -> dict[int, tuple[
                 window, item, distance = items.near(n, prints)
                 for i in np.lexsort((own_at[window], distance, item)):
                     t = int(item[i])
-                    if t in out and out[t][3] == n:
+                    if t in out:
                         continue
                     begin = int(own_at[window[i]])
                     s = items.similarity(Counter(grams[begin : begin + span].tolist()), t)
                     if s >= least:
-                        out[t] = (s, int(distance[i]), begin, n)
+                        out[t] = (s, int(distance[i]), begin, words)
     return out
 
 
@@ -190,7 +195,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, least:
     """(doc_id, item_id, similarity, distance, first_word, n_words), a row for each row of ``docs`` and item found in it.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text.  An item is found where some window of as many
-    words has weighted Jaccard similarity of at least ``least`` of ``k``-word shingles (A-Z as a-z), each shingle
+    words (the whole text, if it has fewer) has weighted Jaccard similarity of at least ``least`` of ``k``-word shingles (A-Z as a-z), each shingle
     weighing log(1 + items / items that have it), and fingerprints at most RADIUS bits apart; the reported window
     is the first that passes in order of distance and place.
 

@@ -230,6 +230,16 @@ def test_benchmark_blocks_and_short_items(spark, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 2)]
 
 
+def test_benchmark_item_longer_than_the_text(spark):
+    rng = random.Random(8)
+    w = prose(rng, 59).split()
+    items = spark.createDataFrame([(1, " ".join(w)), (2, prose(rng, 40)), (3, "a b c")], "item_id long, text string")
+    docs = frame(spark, [(1, " ".join(w[:-1])), (2, " ".join(w[4:])), (3, " ".join(w[:20])), (4, " ".join(w[:3])), (5, "a b")])
+    got = benchmark_matches(docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["first_word"], r["n_words"]) for r in got) == [(1, 1, 0, 58), (2, 1, 0, 55)]
+    assert {r["doc_id"] for r in without_benchmark(docs, items).collect()} == {3, 4, 5}
+
+
 def test_radius_is_guaranteed():
     rng = np.random.default_rng(3)
     items = decontaminate.Items([1, 2], ["one two three four five six", "seven eight nine ten eleven twelve"], 5)
