@@ -8,8 +8,9 @@ of 8 bits: if two differ in at most ``RADIUS`` = 23 bits, some block differs in
 block's values and their neighbours at distance 2 finds all fingerprints within the radius.  Found pairs are
 verified by their exact weighted Jaccard similarity.
 
-The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters, one pass over the texts for each; a
-block is what every task holds.
+The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters, one pass over the texts for each.  Every
+task holds a block, and the weights of the shingles that two or more items of the whole benchmark have (all others
+weigh the same), so results don't depend on blocks.
 """
 
 from __future__ import annotations
@@ -39,6 +40,19 @@ def _planes(h: np.ndarray) -> np.ndarray:
     return bits.astype(np.float64) * 2 - 1
 
 
+def _fixed(weight: np.ndarray) -> np.ndarray:
+    """Weights as whole numbers, whose running sums are exact wherever they begin."""
+    return np.rint(np.asarray(weight, float) * (1 << 20))
+
+
+def _bag(text: str, k: int) -> tuple[Counter, int]:
+    """Shingles of an item and its number of words."""
+    buf = arrays.LOWER[np.frombuffer((text or "").encode(), np.uint8)]
+    starts, ends, _ = arrays.words(buf, np.array([0, len(buf)]))
+    h = arrays.Rolling(buf).of(starts, ends)
+    return Counter(arrays.window_hash(h, min(k, len(h))).tolist()) if len(h) else Counter(), len(h)
+
+
 def _pack(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view("<u8").ravel()
 
@@ -46,27 +60,30 @@ def _pack(sums: np.ndarray) -> np.ndarray:
 class Items:
     """Benchmark items of one block, by number of words, with their fingerprints and block index."""
 
-    def __init__(self, ids: list, texts: list[str], k: int):
+    def __init__(self, ids: list, texts: list[str], k: int, common: tuple[int, np.ndarray, np.ndarray] | None = None):
+        """``common``: items of the whole benchmark, its shingles that two or more of them have (sorted), and how many
+        have each; without it these are all items."""
         self.k, self.ids = k, ids
-        bags: list[Counter] = []
-        lengths: list[int] = []
-        for text in texts:
-            buf = arrays.LOWER[np.frombuffer((text or "").encode(), np.uint8)]
-            off = np.array([0, len(buf)])
-            starts, ends, _ = arrays.words(buf, off)
-            h = arrays.Rolling(buf).of(starts, ends)
-            lengths.append(len(h))
-            bags.append(Counter(arrays.window_hash(h, min(k, len(h))).tolist()) if len(h) else Counter())
+        bags, lengths = zip(*(_bag(text, k) for text in texts), strict=True)
         df = Counter(x for bag in bags for x in bag)
-        self.most = float(np.log(1 + len(texts)))
         self.bags = bags
         self.known = np.array(sorted(df), np.uint64)
-        self.weight = np.array([np.log(1 + len(texts) / df[int(x)]) for x in self.known])
+        have = np.array([df[int(x)] for x in self.known], float)
+        items, self.other, others = common or (len(texts), np.zeros(0, np.uint64), np.zeros(0))
+        if common:
+            have = np.ones(len(self.known))
+            same = np.isin(self.known, self.other)
+            have[same] = others[np.searchsorted(self.other, self.known[same])]
+            rest = ~np.isin(self.other, self.known)
+            self.other, others = self.other[rest], others[rest]
+        self.most = float(np.log(1 + items))
+        self.weight = np.log(1 + items / have)
+        self.other_weight = np.log(1 + items / others)
         self.total = np.array([sum(c * self.weigh(x) for x, c in bag.items()) for bag in bags])
         prints = []
         for bag in bags:
             h = np.array(list(bag), np.uint64)
-            w = np.array([c * self.weigh(x) for x, c in bag.items()])
+            w = np.array([c * _fixed(self.weigh(x)) for x, c in bag.items()])
             prints.append(int(_pack((_planes(h) * w[:, None]).sum(0, keepdims=True))[0]) if len(h) else 0)
         self.prints = np.array(prints, np.uint64)
         self.by: dict[int, np.ndarray] = {}
@@ -88,7 +105,10 @@ class Items:
 
     def weigh(self, h: int) -> float:
         at = int(np.searchsorted(self.known, np.uint64(h)))
-        return float(self.weight[at]) if at < len(self.known) and int(self.known[at]) == h else self.most
+        if at < len(self.known) and int(self.known[at]) == h:
+            return float(self.weight[at])
+        at = int(np.searchsorted(self.other, np.uint64(h)))
+        return float(self.other_weight[at]) if at < len(self.other) and int(self.other[at]) == h else self.most
 
     def weights(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weight of each shingle, and its weight if an item has it (else 0)."""
@@ -97,7 +117,12 @@ class Items:
         same = self.known[at] == h[hit] if len(self.known) else np.zeros(len(hit), bool)
         own = np.zeros(len(h))
         own[hit[same]] = self.weight[at[same]]
-        return np.where(own > 0, own, self.most), own
+        all_ = np.where(own > 0, own, self.most)
+        if len(self.other):
+            at = np.minimum(np.searchsorted(self.other, h), len(self.other) - 1)
+            same = self.other[at] == h
+            all_[same] = self.other_weight[at[same]]
+        return all_, own
 
     def near(self, n: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, distance) of all fingerprint pairs within RADIUS."""
@@ -138,7 +163,7 @@ def _matches(items: Items, hashes: np.ndarray, least: float) -> dict[int, tuple[
         if size not in of:
             grams = arrays.window_hash(hashes, size)
             weight, own = items.weights(grams)
-            of[size] = grams, weight, np.concatenate([[0.0], np.cumsum(own)])
+            of[size] = grams, _fixed(weight), np.concatenate([[0.0], np.cumsum(own)])
         grams, weight, run = of[size]
         span = words - size + 1
         starts = np.flatnonzero(run[span:] - run[:-span] >= least * items.total[items.by[n]].min() - 1e-6)
@@ -153,7 +178,7 @@ def _matches(items: Items, hashes: np.ndarray, least: float) -> dict[int, tuple[
                 window, item, distance = items.near(n, prints)
                 for i in np.lexsort((own_at[window], distance, item)):
                     t = int(item[i])
-                    if t in out:
+                    if t in out and out[t][1] <= distance[i]:
                         continue
                     begin = int(own_at[window[i]])
                     s = items.similarity(Counter(grams[begin : begin + span].tolist()), t)
@@ -180,15 +205,30 @@ def _texts(batch: pa.RecordBatch, items: Items) -> Iterator[tuple[int, np.ndarra
             yield a + i, h[first[i] : first[i + 1]]
 
 
+def _common(rows: DataFrame, k: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of items, the shingles that two or more of them have, and how many have each."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(list(_bag(text, k)[0]), np.uint64).view(np.int64))], ["h"])
+
+    got = rows.select("text").mapInArrow(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1).toArrow()
+    h, n = got["h"].to_numpy().astype(np.int64).view(np.uint64), got["n"].to_numpy().astype(float)
+    order = np.argsort(h)
+    return rows.count(), h[order], n[order]
+
+
 def _blocks(benchmark: DataFrame, k: int) -> Iterator[Items]:
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull()).distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-int(total) * 5 // (BLOCK_CHARS * 4))) if total > BLOCK_CHARS else 1
+    common = _common(rows, k) if count > 1 else None
     for i in range(count):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == i) if count > 1 else rows
         got = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         if got:
-            yield Items([x for x, _ in got], [x for _, x in got], k)
+            yield Items([x for x, _ in got], [x for _, x in got], k, common)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: float = 0.75) -> DataFrame:

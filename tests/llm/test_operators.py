@@ -240,6 +240,27 @@ def test_benchmark_item_longer_than_the_text(spark):
     assert {r["doc_id"] for r in without_benchmark(docs, items).collect()} == {3, 4, 5}
 
 
+def test_benchmark_blocks_change_nothing(spark, monkeypatch):
+    rng = random.Random(12)
+    common = [prose(rng, 25) for _ in range(4)]
+    items = [(i, f"{common[i % 4]} {prose(rng, 18)} {common[i % 3]}") for i in range(24)]
+    docs = []
+    for i, text in items * 3:
+        w = text.split()
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = prose(rng, 1)
+        docs.append((len(docs), " ".join(w[rng.randint(0, 4) :]) + " " + common[(i + 1) % 4]))
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, docs)
+    want = sorted(map(tuple, benchmark_matches(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 1500)
+    assert sum(1 for _ in decontaminate._blocks(items, 5)) > 2
+    got = sorted(map(tuple, benchmark_matches(docs, items).collect()))
+    assert len(want) > 30
+    assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in want]
+    assert np.allclose([r[2] for r in got], [r[2] for r in want])
+
+
 def test_radius_is_guaranteed():
     rng = np.random.default_rng(3)
     items = decontaminate.Items([1, 2], ["one two three four five six", "seven eight nine ten eleven twelve"], 5)
