@@ -5,6 +5,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+from recall.llm import html_extract
+
 SPACES = re.compile(r"[^\x20\x09-\x0d]+")
 
 
@@ -138,3 +140,44 @@ def url_templates(pages, ratings, rules, levels, support, share, differs, prior,
         rule, verdict = max(fit)[1:] if fit else (None, "block" if purity < least else "allow")
         out[page] = (host, path, rule, verdict)
     return out
+
+
+def main_texts(rows):
+    """{page_id: main text} of [(page_id, url, html)] by explicit occurrence vectors; tokens and blocks as the walk gives them."""
+    out, hosts = {}, defaultdict(list)
+    for page_id, url, source in rows:
+        hosts[url.split("/")[2]].append((page_id, html_extract.Page(source)))
+    for pages in hosts.values():
+        vectors, kinds, anchors = defaultdict(lambda: [0] * len(pages)), {}, {}
+        for i, (_, page) in enumerate(pages):
+            for token, kind, anchor in page.tokens:
+                vectors[token][i] += 1
+                kinds[token], anchors[token] = kind, anchor
+        classes = defaultdict(list)
+        for token, v in vectors.items():
+            classes[tuple(v)].append(token)
+        large = {}
+        for v, tokens in classes.items():
+            contents = {pages[i][1].text() for i, n in enumerate(v) if n}
+            if len(tokens) >= 3 and len(contents) >= 3 and any(kinds[t] == html_extract.TAG for t in tokens):
+                large[v] = tokens
+        of = {t: v for v, tokens in large.items() for t in tokens}
+        orders, slots = defaultdict(set), defaultdict(set)
+        for _, page in pages:
+            spans = []
+            for v, tokens in large.items():
+                at = [(i, t) for i, (t, _, _) in enumerate(page.tokens) if of.get(t) == v]
+                for j in range(0, len(at), len(tokens)):
+                    turn = at[j : j + len(tokens)]
+                    orders[v].add(tuple(t for _, t in turn))
+                    spans.append((v, [i for i, _ in turn]))
+            for v, own in spans:
+                around = [(o[0], w, sum(i < own[0] for i in o)) for w, o in spans if w != v and o[0] < own[0] < o[-1]]
+                slots[v].add(max(around)[1:] if around else None)
+                if any(w != v and own[0] < i < own[-1] and (o[0] < own[0] or o[-1] > own[-1]) and o[0] < own[0] for w, o in spans for i in o):
+                    orders[v].add("crosses")
+        valid = {v for v, tokens in large.items() if len(orders[v]) == 1 and len(set(next(iter(orders[v])))) == len(tokens) and len(slots[v]) == 1}
+        drop = {t for t, v in of.items() if v in valid and kinds[t] == html_extract.TEXT and of.get(anchors[t]) == v}
+        for page_id, page in pages:
+            out[page_id] = page.text({i for i, (t, _, _) in enumerate(page.tokens) if t in drop})
+    return out

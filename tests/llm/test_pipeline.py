@@ -56,6 +56,34 @@ def test_stages(spark, tmp_path):
     assert all(pieces[r["doc_id"]] == r["doc_tokens"] for r in kept["packing"].collect())
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], SCHEMA)
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """A row goes for the sake of its own text, not of its id, and of equal rows one stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, a), (None, a), (8, ""), (8, None), (9, a + " more"), (6, "one word"), (7, "One WORD")]
+    got = [(r["doc_id"], r["text"]) for r in pipeline.near_copies(spark, documents(spark, rows), DATA).collect()]
+    key = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted(got, key=key) == sorted([(1, a), (5, b), (7, c), (None, a), (None, a), (8, ""), (8, None), (6, "one word")], key=key)
+
+
+def test_repeats_keep_genuine_characters(spark):
+    """Only characters that a cut breaks are dropped; texts of white space alone go."""
+    passage = "".join(chr(0x430 + (i * i + i // 7) % 31) + str(i) for i in range(70))
+    rows = [(1, passage), (2, f"abc\ufffd{passage}\ufffd def"), (3, "é" + passage[1:] + "x"), (4, "\n \n\t"), (5, "tail\ufffd")]
+    got = {r["doc_id"]: r for r in pipeline.repeats(spark, documents(spark, rows), DATA).collect()}
+    assert set(got) == {1, 2, 3, 5}
+    assert got[2]["text"].startswith("abc\ufffd") and got[2]["text"].endswith("\ufffd def") and len(got[2]["text"]) < 20
+    assert got[5]["text"] == "tail\ufffd"
+    assert got[3]["text"][0] == "é" and "\ufffd" not in got[3]["text"]
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
 def test_odd_documents(spark):
     """Nulls in every column, empty texts and repeated rows pass all stages without a crash."""
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "some words of a text without an id that is long enough", "en", None, 5)] + [(3, "the same text twice " * 20, "en", "s", 400)] * 2
