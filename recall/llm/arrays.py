@@ -9,15 +9,37 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
+_libc = None
 with contextlib.suppress(OSError, AttributeError):  # glibc: give large arrays back to the system when freed
-    ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 19)
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.mallopt(-3, 1 << 19)
 pa.set_memory_pool(pa.system_memory_pool())
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def trim() -> None:
+    gc.collect()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, and at the end of the task its memory goes back to the system: workers live on and serve later stages."""
+
+    def go(batches: Batches) -> Batches:
+        yield from run(batches)
+        trim()
+
+    return go
+
+
 #: Bytes of text handled at a time (one longer text is a piece of its own).
 PIECE_BYTES = 3 << 18
 

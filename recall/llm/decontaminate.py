@@ -97,11 +97,15 @@ class Items:
         self.table[(self.known >> np.uint64(44)).astype(np.int64)] = True
 
     @staticmethod
-    def _index(prints: np.ndarray) -> list[list[np.ndarray]]:
-        """For each block and value: the items whose block differs in at most NEAR bits."""
+    def _index(prints: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each block: where the list of each of the 256 values begins, and the items whose block differs in at most NEAR bits."""
         parts = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
         values = np.arange(256, dtype=np.uint8)
-        return [[np.flatnonzero(_POP[parts[:, b] ^ v] <= NEAR) for v in values] for b in range(BLOCKS)]
+        out = []
+        for b in range(BLOCKS):
+            value, item = np.nonzero(_POP[parts[None, :, b] ^ values[:, None]] <= NEAR)
+            out.append((np.searchsorted(value, np.arange(257)).astype(np.int32), item.astype(np.int32)))
+        return out
 
     def weigh(self, h: int) -> float:
         at = int(np.searchsorted(self.known, np.uint64(h)))
@@ -129,11 +133,10 @@ class Items:
         of, items = self.index[n], self.by[n]
         parts = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
         found = []
-        for b in range(BLOCKS):
-            lists = [of[b][v] for v in parts[:, b]]
-            size = np.array([len(x) for x in lists])
+        for (begin, held), value in zip(of, parts.T.astype(np.int64), strict=True):
+            size = (begin[value + 1] - begin[value]).astype(np.int64)
             if size.sum():
-                found.append(np.repeat(np.arange(len(prints)), size) * len(items) + np.concatenate(lists))
+                found.append(np.repeat(np.arange(len(prints)), size) * len(items) + held[arrays.ragged(begin[value].astype(np.int64), size)])
         if not found:
             return (np.zeros(0, np.int64),) * 3
         pair = np.unique(np.concatenate(found))
@@ -213,13 +216,14 @@ def _common(rows: DataFrame, k: int) -> tuple[int, np.ndarray, np.ndarray]:
             for text in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(list(_bag(text, k)[0]), np.uint64).view(np.int64))], ["h"])
 
-    got = rows.select("text").mapInArrow(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1).toArrow()
+    got = rows.select("text").mapInArrow(arrays.lean(shingles), "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1).toArrow()
     h, n = got["h"].to_numpy().astype(np.int64).view(np.uint64), got["n"].to_numpy().astype(float)
     order = np.argsort(h)
     return rows.count(), h[order], n[order]
 
 
-def _blocks(benchmark: DataFrame, k: int) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, k: int) -> Iterator[tuple[Items, bool]]:
+    """The blocks of the benchmark, and whether there are several."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull()).distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-int(total) * 5 // (BLOCK_CHARS * 4))) if total > BLOCK_CHARS else 1
@@ -228,7 +232,7 @@ def _blocks(benchmark: DataFrame, k: int) -> Iterator[Items]:
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == i) if count > 1 else rows
         got = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         if got:
-            yield Items([x for x, _ in got], [x for _, x in got], k, common)
+            yield Items([x for x, _ in got], [x for _, x in got], k, common), count > 1
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: float = 0.75) -> DataFrame:
@@ -256,10 +260,17 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, least:
                     types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)], ["doc_id", "item_id", "similarity", "distance", "first_word", "n_words"])
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(arrays.lean(run), schema)
 
     schema = "doc_id long, item_id long, similarity double, distance long, first_word long, n_words long"
-    parts = [search(spark.sparkContext.broadcast(x)) for x in _blocks(benchmark, k)]
+    parts: list[DataFrame] = []
+    for items, more in _blocks(benchmark, k):
+        block = spark.sparkContext.broadcast(items)
+        part = search(block)
+        if more:  # one block at a time is held by the tasks
+            part = shared.save(part, "matches")
+            block.destroy()
+        parts.append(part)
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
 
 
@@ -279,6 +290,10 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, least:
 
         return run
 
-    for items in _blocks(benchmark, k):
-        docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(items)), docs.schema)
+    for items, more in _blocks(benchmark, k):
+        block = spark.sparkContext.broadcast(items)
+        docs = docs.mapInArrow(arrays.lean(clean(block)), docs.schema)
+        if more:
+            docs = shared.save(docs, "clean")
+            block.destroy()
     return docs

@@ -128,8 +128,8 @@ def _counts(docs: DataFrame, langs: list[str], buckets: int) -> DataFrame:
                 y = x[i : i + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(y["kind"].astype(np.int32)), pa.array(y["h"].astype(np.uint64).view(np.int64)), pa.array(y["lang"].astype(np.int32)), pa.array(y["c"].astype(np.int64))], ["kind", "h", "lang", "c"])
 
-    parts = docs.select("text", "lang").mapInArrow(count, "bucket int, entries binary")
-    return parts.repartitionById(buckets, "bucket").mapInArrow(merge, "kind int, h long, lang int, c long")
+    parts = docs.select("text", "lang").mapInArrow(arrays.lean(count), "bucket int, entries binary")
+    return parts.repartitionById(buckets, "bucket").mapInArrow(arrays.lean(merge), "kind int, h long, lang int, c long")
 
 
 def _model(counts: DataFrame, langs: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -232,4 +232,4 @@ def language_id(docs: DataFrame) -> DataFrame:
                 score = np.where(letter, share.max(1) / share.sum(1), 0.0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(names[best], pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", "held_out", "text").mapInArrow(arrays.lean(predict), "doc_id long, held_out boolean, lang_pred string, score double")

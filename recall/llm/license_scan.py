@@ -145,4 +145,4 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, k: in
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], ["doc_id", "license", "first_word", "n_words", "containment"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, license string, first_word long, n_words long, containment double")
+    return rows.mapInArrow(arrays.lean(run), "doc_id long, license string, first_word long, n_words long, containment double")

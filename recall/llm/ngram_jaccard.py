@@ -71,7 +71,7 @@ def _frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield often(held)
 
-    counts = shared.save(docs.select("text").mapInArrow(repeated, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
+    counts = shared.save(docs.select("text").mapInArrow(arrays.lean(repeated), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
     level = F.floor(F.log2("c")).cast("int")
     sizes = {r["l"]: r["n"] for r in counts.groupBy(level.alias("l")).agg(F.count("*").alias("n")).collect()}
     least, room = 99, FREQUENT
@@ -113,7 +113,7 @@ _ENTRY = np.dtype([("sig", "<i8"), ("n", "<u4"), ("cnt", "<u4")])
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> DataFrame:
-    """Per part of the input and fragment, the prefix parts of its sets; and (doc_id, n, signature) of all rows."""
+    """Per part of the input and fragment, the prefix parts of its sets; and (doc_id, hash of the text, n, signature) of all rows."""
 
     def flush(held: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
         frag, token, sig, n = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -128,18 +128,19 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
             head["sig"], head["n"], head["cnt"] = own[s], n[o[s]], np.diff(np.r_[s, len(o)])
             keys.append(f)
             blobs.append(np.uint32(len(s)).tobytes() + head.tobytes() + token[o].tobytes())
-        ids, ns, sigs = pa.concat_arrays([x[0] for x in rows]), *(np.concatenate([x[i] for x in rows]) for i in (1, 2))
+        ids, own = (pa.concat_arrays([x[i] for x in rows]) for i in (0, 1))
+        ns, sigs = (np.concatenate([x[i] for x in rows]) for i in (2, 3))
         none = pa.nulls(len(keys), pa.list_(pa.int64()))
-        last = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(x, pa.int64())) for x in (ids, ns, sigs)]
+        last = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(x, pa.int64())) for x in (ids, own, ns, sigs)]
         where = int(abs(int(sigs[0])) % fragments)
-        return pa.RecordBatch.from_arrays([pa.array([*keys, where], pa.int32()), pa.array([*blobs, None], pa.binary()), *(pa.concat_arrays([none, x]) for x in last)], ["frag", "prefix", "ids", "ns", "sigs"])
+        return pa.RecordBatch.from_arrays([pa.array([*keys, where], pa.int32()), pa.array([*blobs, None], pa.binary()), *(pa.concat_arrays([none, x]) for x in last)], ["frag", "prefix", "ids", "keys", "ns", "sigs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, l = freq.value
         held: list[tuple] = []
         rows: list[tuple] = []
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            ids, own = batch.column(0), batch.column(2)
             for a, b, buf, off in arrays.text_pieces(batch, "text", 2 * arrays.PIECE_BYTES):
                 row, place, value = _ordered(buf, off, k, h, l)
                 n = np.bincount(row, minlength=b - a).astype(np.int64)
@@ -158,22 +159,23 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
                 frag = ((key * np.uint64(fragments)) >> np.uint64(32)).astype(np.int32)
                 mine = np.repeat(np.arange(b - a), take)
                 held.append((frag, (place[at] & np.uint64(0xFFFFFFFF)).astype("<u4"), sig[mine], n[mine].astype(np.uint32)))
-                rows.append((ids.slice(a, b - a).cast(pa.int64()), n, sig))
+                rows.append((ids.slice(a, b - a), own.slice(a, b - a), n, sig))
                 if sum(len(x[0]) for x in held) > HELD:
                     yield flush(held, rows)
                     held, rows = [], []
         if rows:
             yield flush(held, rows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "frag int, prefix binary, ids array<long>, ns array<long>, sigs array<long>")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    return rows.mapInArrow(arrays.lean(run), "frag int, prefix binary, ids array<long>, keys array<long>, ns array<long>, sigs array<long>")
 
 
 def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In one fragment: the shingles that two or more different sets have; documents' rows pass through."""
     heads: dict[int, list] = {}
-    names = ["doc_id", "sig", "n", "token"]
+    names = ["doc_id", "key", "sig", "n", "token"]
     for batch in batches:
-        for frag, blob, ids, ns, sigs in zip(*(batch.column(i) for i in range(5)), strict=True):
+        for frag, blob, ids, keys, ns, sigs in zip(*(batch.column(i) for i in range(6)), strict=True):
             if blob.is_valid:
                 raw = blob.as_buffer()
                 m = int(np.frombuffer(raw, "<u4", 1)[0])
@@ -181,7 +183,7 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 token = np.frombuffer(raw, "<u4", -1, 4 + m * _ENTRY.itemsize)
                 heads.setdefault(frag.as_py(), []).append((head, token))
             else:
-                yield pa.RecordBatch.from_arrays([ids.values, sigs.values, ns.values, pa.nulls(len(ids.values), pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([ids.values, keys.values, sigs.values, ns.values, pa.nulls(len(ids.values), pa.int64())], names)
     for frag, got in heads.items():
         head = np.concatenate([x for x, _ in got])
         token = np.concatenate([x for _, x in got])
@@ -196,7 +198,8 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         token, sig, n = token[keep], sig[keep], n[keep]
         for i in range(0, len(token), 1 << 17):
             s = slice(i, i + (1 << 17))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(sig[s]), pa.int64()), pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32))], names)
+            none = pa.nulls(len(sig[s]), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32))], names)
 
 
 def _level(n: int, part: int) -> int:
@@ -241,16 +244,17 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
             out = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["a", "b", "na", "nb", "part"])
 
-    parts = shared.maybe(docs.filter(F.col("doc_id").isNotNull()), bloom).mapInArrow(segments, "sig long, frag int, part binary")
+    parts = shared.maybe(docs.filter(F.col("doc_id").isNotNull()), bloom, run=arrays.lean(segments), schema="sig long, frag int, part binary")
     parts = parts.join(wanted, "sig").dropDuplicates(["sig", "frag"])
     parts = shared.save(parts, "segments")
+    bloom.destroy()
     over = F.floor((F.greatest("na", "nb") - 1) / part).cast("long")
     level = F.when(over > 0, F.length(F.bin(over))).otherwise(0)
     split = pairs.withColumn("level", level).selectExpr("a", "b", "na", "nb", "explode(sequence(shiftleft(level, 26), shiftleft(level, 26) + shiftleft(1, level) - 1)) AS frag")
     left = parts.select(F.col("sig").alias("a"), "frag", F.col("part").alias("pa"))
     right = parts.select(F.col("sig").alias("b"), "frag", F.col("part").alias("pb"))
     met = split.join(left, ["a", "frag"]).join(right, ["b", "frag"]).select("a", "b", "na", "nb", "pa", "pb")
-    total = met.mapInArrow(overlaps, "a long, b long, na long, nb long, part long").groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("o"))
+    total = met.mapInArrow(arrays.lean(overlaps), "a long, b long, na long, nb long, part long").groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("o"))
     out = shared.save(total.filter(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b", "na", "nb"), "links")
     shared.forget(parts)
     return out
@@ -355,48 +359,43 @@ def _across(live: DataFrame, percent: int, top: int | None = None) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "na", "nb", "c"])
 
-    met = rows.mapInArrow(run, "a long, b long, na long, nb long, c long")
+    met = rows.mapInArrow(arrays.lean(run), "a long, b long, na long, nb long, c long")
     return _possible(joined.union(met).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent)
 
 
-def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 1) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    Two texts are linked when ``100 * intersection >= percent * union`` of their sets of distinct ``k``-word
-    shingles (A-Z as a-z; fewer words: the whole sequence is one shingle).  component_id is the smallest doc_id
-    reachable by links, the row's own included.
-
-    Null or word-free texts have 0 shingles, no link, and their own doc_id.  Rows without doc_id take no part
-    in links and get a null component_id.  Repeated rows, and rows that repeat a doc_id with another text, each
-    get the component of their own text.  Other columns are ignored; an empty table gives no rows.
-    """
+def _classes(docs: DataFrame, k: int, percent: int, fragments: int | None, rounds: int) -> DataFrame:
+    """For each row of ``docs`` (doc_id, text): doc_id, key (hash of the text), n, sig (of the set), label (of its group of
+    linked sets) and least (smallest doc_id of the group).  Sets without shingles and rows without doc_id are in no group."""
     spark = docs.sparkSession
-    shared.ship(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     fragments = fragments or shared.parts(spark)
     freq = spark.sparkContext.broadcast(_frequent(docs, k))
     pieces = _prefixes(docs, k, percent, fragments, freq)
-    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(_shared_shingles, "doc_id long, sig long, n long, token long"), "shingles")
-    rows = found.filter(F.col("token").isNull()).select("doc_id", "sig", "n")
+    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(arrays.lean(_shared_shingles), "doc_id long, key long, sig long, n long, token long"), "shingles")
+    freq.destroy()
+    rows = found.filter(F.col("token").isNull()).select("doc_id", "key", "sig", "n")
     tokens = found.filter(F.col("token").isNotNull()).select("token", "sig", "n")
     nodes = shared.save(rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sig").agg(F.min("doc_id").alias("least")), "nodes")
     labels = None
     links: list[DataFrame] = []
     tried: list[DataFrame] = []
+    spent: list[DataFrame] = []
     now = tokens.withColumn("comp", F.col("sig"))
     for turn in range(rounds + 1):
         per = now.groupBy("token", "comp").agg(F.count("*").alias("s")).groupBy("token")
         per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"))
         per = shared.save(per.filter(F.col("comps") > 1).select("token", "m", "sq"), "buckets")
+        spent.append(per)
         cross, hard, members = per.agg(F.count("*"), F.sum(F.when(F.col("m") > SMALL, (F.col("m") * F.col("m") - F.col("sq")) / 2).otherwise(0)), F.sum("m")).first()
         if not cross:
             break
         live = shared.save(now.join(per.select("token", "m"), "token"), "live")
+        spent.append(live)
         last = hard <= 4 * members or turn == rounds
         pairs = _across(live, percent, None if last else TOP)
         for old in tried:
             pairs = pairs.join(old.select("a", "b"), ["a", "b"], "left_anti")
         pairs = shared.save(pairs, "pairs")
+        spent.append(pairs)
         if not pairs.isEmpty():
             tried.append(pairs)
             links.append(_verified(docs, nodes, pairs, k, percent))
@@ -404,16 +403,61 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int
             now = live.select("token", "sig", "n").join(labels, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("comp"))
         else:
             now = live.select("token", "sig", "n", "comp")
-        shared.forget(per)
         if last:
             break
-    if labels is None:
-        best = rows.join(nodes, "sig", "left").select("doc_id", "n", "least")
-    else:
+    for table in [*spent, *links]:
+        shared.forget(table)
+    known = nodes.select("sig", F.col("sig").alias("label"), "least")
+    if labels is not None:
         joined = nodes.join(labels, nodes["sig"] == labels["node"]).select("sig", "component", "least")
-        least = joined.groupBy("component").agg(F.min("least").alias("low"))
-        mapped = joined.join(least, "component").select("sig", "low")
-        known = nodes.join(mapped, "sig", "left").select("sig", F.coalesce("low", "least").alias("least"))
-        best = rows.join(known, "sig", "left").select("doc_id", "n", "least")
-    own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")))
-    return best.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+        low = joined.groupBy("component").agg(F.min("least").alias("low"))
+        mapped = joined.join(low, "component").select("sig", "component", "low")
+        known = nodes.join(mapped, "sig", "left").select("sig", F.coalesce("component", "sig").alias("label"), F.coalesce("low", "least").alias("least"))
+    best = rows.join(known, "sig", "left")
+    linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    return best.select("doc_id", "key", "n", "sig", F.when(linked, F.col("label")).alias("label"), F.when(linked, F.col("least")).alias("least"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    shared.ship(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 75, fragments: int | None = None, rounds: int = 1) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    Two texts are linked when ``100 * intersection >= percent * union`` of their sets of distinct ``k``-word
+    shingles (A-Z as a-z; fewer words: the whole sequence is one shingle).  component_id is the smallest doc_id
+    reachable by links, the row's own included.
+
+    Null or word-free texts have 0 shingles, no link, and their own doc_id.  Rows without doc_id take no part
+    in links and get a null component_id.  Repeated rows, and rows that repeat a doc_id with another text, each
+    get the component of their own text.  A similarity of exactly ``percent`` is a link.  A text is hashed in one piece,
+    in memory of some 60 times its size; its prefix and its whole set then travel in fragments.  Other columns are
+    ignored, whatever their names; an empty table gives no rows.
+    """
+    rows = _classes(_texts(docs), k, percent, fragments, rounds)
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs``, all columns, without all but one of each group of linked texts (see ``ngram_jaccard``).
+
+    The one with the smallest doc_id stays; if several texts of a group have that doc_id, the one whose text has the
+    smallest hash; of rows that repeat both, the least by their columns.  Rows without doc_id, or without a word, are in
+    no group and stay.
+    """
+    columns = docs.columns
+    rows = shared.save(_classes(_texts(docs), k, percent, None, 1).filter(F.col("label").isNotNull()).select("doc_id", "key", "label"), "rows")
+    place = F.struct("doc_id", "key")
+    first = rows.groupBy("label").agg(F.min(place).alias("first"))
+    marked = rows.groupBy("label", "doc_id", "key").agg(F.count("*").alias("n")).join(first, "label")
+    # a text has one label, so (doc_id, key) names the rows of one class
+    out = shared.save(marked.filter((F.col("first") != place) | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), (F.col("first") == place).alias("_stays")), "gone")
+    shared.forget(rows)
+    own = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.xxhash64(F.col("text").cast("string"))})
+    kept = own.join(out, ["_id", "_key"], "left_anti").select(*columns)
+    again = own.join(out.filter("_stays").select("_id", "_key"), ["_id", "_key"])
+    again = again.groupBy("_id", "_key").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+    return kept.unionByName(again)

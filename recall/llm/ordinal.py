@@ -91,7 +91,7 @@ def _chosen(sample: DataFrame) -> np.ndarray:
         grade, feature = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(feature.astype(np.int32)), pa.array(grade.astype(np.int32)), pa.array(total[grade, feature].astype(np.int64))], ["feature", "grade", "c"])
 
-    counts = sample.select("text", "grade").mapInArrow(count, "feature int, grade int, c long")
+    counts = sample.select("text", "grade").mapInArrow(arrays.lean(count), "feature int, grade int, c long")
     wide = counts.groupBy("feature").agg(*(F.sum(F.when(F.col("grade") == g, F.col("c")).otherwise(0)).alias(f"c{g}") for g in range(GRADES)))
     got = wide.filter(sum(F.col(f"c{g}") for g in range(GRADES)) >= LEAST_COUNT).toArrow()
     number = {r["grade"]: r["n"] for r in sample.groupBy("grade").agg(F.count("*").alias("n")).collect()}
@@ -186,7 +186,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5, c
                 cut = np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a), batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(pa.array(cut), pa.array(at.astype(np.int32)))], ["doc_id", "grade", "present"])
 
-    got = sample.mapInArrow(selected, "doc_id long, grade int, present array<int>").orderBy("doc_id").toArrow()
+    got = sample.mapInArrow(arrays.lean(selected), "doc_id long, grade int, present array<int>").orderBy("doc_id").toArrow()
     shared.forget(sample)
     lists = got["present"].combine_chunks()
     features = lists.flatten().to_numpy()
@@ -216,4 +216,4 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5, c
                 )
 
     schema = whole.select(*first).schema.add("expected_grade", "double").add("tail_probability", "double").add("kept", "boolean")
-    return whole.mapInArrow(score, schema)
+    return whole.mapInArrow(arrays.lean(score), schema)

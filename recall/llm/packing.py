@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from . import arrays, shared
 
 SHARD_DOCS, SHARD_TOKENS = 1024, 2_000_000
-#: Parts of words whose ids a worker remembers (about 40 bytes each).
-REMEMBERED = 1_500_000
+#: Parts of words whose ids a worker remembers (about 40 bytes each), within a task and from task to task.
+REMEMBERED, KEPT = 1_000_000, 300_000
 #: Parts of words that are encoded at a time.
 TOGETHER = 500
 K1, B = 1.2, 0.75
@@ -298,6 +298,8 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
                     held += len(own)
         if ids:
             yield done()
+        if len(words.hash) > KEPT:
+            words.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, _SCHEMA + (", ids array<long>" if with_ids else ""))
+    return rows.mapInArrow(arrays.lean(run), _SCHEMA + (", ids array<long>" if with_ids else ""))

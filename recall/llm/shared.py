@@ -15,6 +15,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import session
 
@@ -109,8 +110,11 @@ def bloom(ids: DataFrame):
     return ids.sparkSession.sparkContext.broadcast(bits)
 
 
-def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple = ()) -> DataFrame:
-    """(doc_id, text) and ``columns`` of the rows whose doc_id the filter may hold, or surely does not hold; texts pass as they are."""
+def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple = (), run=None, schema: StructType | str | None = None) -> DataFrame:
+    """(doc_id, text) and ``columns`` of the rows whose doc_id the filter may hold, or surely does not hold; texts pass as they are.
+
+    With ``run`` its result (of ``schema``) for the batches of these rows, in the same Python worker.
+    """
 
     def has(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
@@ -120,9 +124,14 @@ def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple
                 at = batch.column(batch.num_columns + i).to_numpy(zero_copy_only=False)
                 hit &= (bits[at >> 6] >> (at & 63)) & 1 == 1
             hit = hit if wanted else ~hit
-            if hit.any():
+            if hit.all():
+                yield batch.select(names)
+            elif hit.any():
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:-2]], names)
 
     names = ["doc_id", "text", *columns]
     one, two = _bits("doc_id")
-    return docs.select(*names, one.alias("_one"), two.alias("_two")).mapInArrow(has, docs.select(*names).schema)
+    rows = docs.select(*names, one.alias("_one"), two.alias("_two"))
+    if run is None:
+        return rows.mapInArrow(has, docs.select(*names).schema)
+    return rows.mapInArrow(lambda batches: run(has(batches)), schema)

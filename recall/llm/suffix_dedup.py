@@ -119,7 +119,7 @@ def _collect(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return docs.mapInArrow(run, "bucket int, runs binary, doc array<long>, ver array<long>, at array<long>, n array<long>")
+    return docs.mapInArrow(arrays.lean(run), "bucket int, runs binary, doc array<long>, ver array<long>, at array<long>, n array<long>")
 
 
 def _judge(most: int):
@@ -259,8 +259,8 @@ def _shards(length: int):
     return run
 
 
-def _kept(length: int, extra: list[str]):
-    """doc_id, digest columns and the remaining text of rows (doc_id, text[, marks])."""
+def _kept(length: int, extra: list[str], texts: bool):
+    """doc_id, digest columns and what remains (bytes, or with ``texts`` the whole characters among them) of rows (doc_id, text[, marks])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,18 +284,19 @@ def _kept(length: int, extra: list[str]):
                         text = text[~out]
                     left.append(text.tobytes())
                 sha = [hashlib.sha256(x).hexdigest() for x in left]
+                whole = pa.array([x.decode("utf-8", "ignore") for x in left], pa.string()) if texts else pa.array(left, pa.binary())
                 same = [batch.column(j).slice(a, b - a) for j in (0, *range(3, 3 + len(extra)))]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha), pa.array(left, pa.binary())], ["doc_id", *extra, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                yield pa.RecordBatch.from_arrays([*same, pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha), whole], ["doc_id", *extra, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = None, hot_snippets: int = HOT) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = None, hot_snippets: int = HOT, texts: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
 
     Every byte is removed that a ``length``-byte string covers which also starts earlier: in a document with a
     smaller doc_id, or earlier in the same one.  Strings are judged on the input.  A cut may fall inside a
-    character, so ``kept`` is binary.  ``carry`` names further columns of ``docs`` to return.
+    character, so ``kept`` is binary; with ``texts`` it is a string of the characters that are left whole.  ``carry`` names further columns of ``docs`` to return.
 
     Null texts are empty: 0 bytes and the digest of no bytes.  A null doc_id counts as larger than all others.
     Rows that repeat both doc_id and text are one document and get equal results; rows that repeat a doc_id
@@ -312,14 +313,14 @@ def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = N
     parts = shared.parts(spark)
     buckets = parts
     schema = "doc long, ver long, at long, n long, key long, hot boolean"
-    marks = shared.save(_collect(docs, length, buckets).repartitionById(parts, "bucket").mapInArrow(_judge(hot_snippets), schema), "marks")
+    marks = shared.save(_collect(docs, length, buckets).repartitionById(parts, "bucket").mapInArrow(arrays.lean(_judge(hot_snippets)), schema), "marks")
     known = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text")
     want = marks.filter(F.col("key").isNotNull())
     first = shared.maybe(known, shared.bloom(want.select(F.col("doc").alias("id"))))
     lists = want.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("ver", "at", "n", "key", "hot")).alias("want"))
-    bits = first.dropDuplicates(["doc_id", "text"]).join(lists, "doc_id").select("doc_id", "text", "want").mapInArrow(_fetch(length), "key long, hot boolean, doc long, ver long, at long, bytes binary")
+    bits = first.dropDuplicates(["doc_id", "text"]).join(lists, "doc_id").select("doc_id", "text", "want").mapInArrow(arrays.lean(_fetch(length)), "key long, hot boolean, doc long, ver long, at long, bytes binary")
     shards = bits.repartition(parts, "key").sortWithinPartitions("key")
-    found = shared.save(shards.mapInArrow(_shards(length), "doc long, ver long, at long, n long, one long, two long"), "found")
+    found = shared.save(shards.mapInArrow(arrays.lean(_shards(length)), "doc long, ver long, at long, n long, one long, two long"), "found")
     hot = found.filter(F.col("one").isNotNull())
     place = F.struct("doc", "ver", "at")
     best = hot.groupBy("one", "two").agg(F.min(place).alias("best"))
@@ -330,9 +331,10 @@ def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = N
     lists = gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("ver", "at", "n")).alias("marks"))
     known = full.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
     out = known.select("doc_id", *extra).schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")):
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "string" if texts else "binary")):
         out = out.add(name, kind)
-    cut = shared.maybe(known, held, columns=extra).join(lists, "doc_id", "left").select("doc_id", "text", "marks", *extra).mapInArrow(_kept(length, extra), out)
-    whole = shared.maybe(known, held, wanted=False, columns=extra).select("doc_id", "text", F.lit(None).cast("array<struct<ver:long,at:long,n:long>>").alias("marks"), *extra).mapInArrow(_kept(length, extra), out)
+    cut = shared.maybe(known, held, columns=extra).join(lists, "doc_id", "left").select("doc_id", "text", "marks", *extra).mapInArrow(arrays.lean(_kept(length, extra, texts)), out)
+    none = known.withColumn("marks", F.lit(None).cast("array<struct<ver:long,at:long,n:long>>"))
+    whole = shared.maybe(none, held, wanted=False, columns=["marks", *extra], run=arrays.lean(_kept(length, extra, texts)), schema=out)
     both = cut.union(whole)
     return both.select(F.when(F.col("doc_id") != _LAST, F.col("doc_id")).alias("doc_id"), *(F.col(f"carry{i}").alias(c) for i, c in enumerate(carry)), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
