@@ -4,10 +4,11 @@ A word (a run of letters) that the model knows is scored by its log frequency in
 falls back to the mean log frequency of its known 4-grams, or if it has none of its 3-grams, and so on down to
 single letters.  The language with the largest sum wins.
 
-Counts cover every text that is not held out.  A task counts its words, derives the n-grams from its distinct
-words, and sends sorted arrays by ranges of the key; each range is merged apart.  The table that scoring tasks
-hold has at most ``WORDS`` words and ``GRAMS`` n-grams of each length (the most frequent, by whole frequency
-classes); rarer words are unseen words, which is what the fallback is for.
+Counts cover every text that is not held out.  A task adds up its distinct words, derives the n-grams from these once,
+and sends sorted arrays by ranges of the key; each range is merged apart.  The table that scoring tasks hold has, for
+every language, its own ``WORDS`` / languages most frequent words and ``GRAMS`` / languages n-grams of each length (by
+whole frequency classes), each with its counts in all languages: what a language knows does not depend on how much
+there is of the others.  Rarer words are unseen words, which is what the fallback is for.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from .perplexity import code_points
 
 LENGTHS = (4, 3, 2, 1)
 WORDS, GRAMS = 200_000, 100_000
-#: Distinct entries that a task holds before it passes them on.
-HELD = 600_000
+#: Distinct words of a language that a task holds before it passes them on, with their n-grams (about 60 bytes each).
+HELD = 250_000
+#: Entries of a range that are merged at a time.
+MERGED = 600_000
 SMOOTH = 0.5
 
 _ENTRY = np.dtype([("h", "<u8"), ("lang", "<u2"), ("kind", "u1"), ("c", "<u8")])
@@ -74,6 +77,22 @@ def _merge(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _added(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Distinct (word hash, language) of all parts with summed counts, and the bytes of each word: buffer, starts, ends."""
+    h, lang, c = (np.concatenate([x[i] for x in parts]) for i in range(3))
+    order = np.lexsort((lang, h))
+    h, lang = h[order], lang[order]
+    head = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (lang[1:] != lang[:-1])])
+    c = np.add.reduceat(c[order], head)
+    own = order[head]
+    base = np.cumsum([0, *(len(x[3]) for x in parts)])
+    low = parts[0][3] if len(parts) == 1 else np.concatenate([x[3] for x in parts])
+    starts = np.concatenate([x[4] + b for x, b in zip(parts, base, strict=False)])[own]
+    size = np.concatenate([x[5] - x[4] for x in parts])[own]
+    ends = np.cumsum(size)
+    return h[head], lang[head], c, low[arrays.ragged(starts, size)], ends - size, ends
+
+
 def _entries(h: np.ndarray, lang: np.ndarray, kind: int, c: np.ndarray) -> np.ndarray:
     out = np.zeros(len(h), _ENTRY)
     out["h"], out["lang"], out["kind"], out["c"] = h, lang, kind, c
@@ -84,31 +103,29 @@ def _counts(docs: DataFrame, langs: list[str], buckets: int) -> DataFrame:
     index = {x: i for i, x in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
+        def flush(held: list[tuple]) -> pa.RecordBatch:
+            h, lang, c, low, starts, ends = _added(held)
+            parts = [_entries(h, lang, 0, c)]
+            for n in LENGTHS:
+                for i in range(0, len(h), 1 << 16):
+                    s = slice(i, i + (1 << 16))
+                    word, key = _grams(low, starts[s], ends[s], n)
+                    parts.append(_merge([_entries(key, lang[s][word], n, c[s][word])]))
             x = _merge(parts)
             bucket = ((x["h"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             return pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), pa.array([x[cut[i] : cut[i + 1]].tobytes() for i in range(buckets)], pa.binary())], ["bucket", "entries"])
 
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
         for batch in batches:
             of = np.array([index[x] for x in batch.column(1).to_pylist()])
             for a, b, buf, off in arrays.text_pieces(batch, "text"):
                 low, starts, ends, h, row = _words(buf, off)
-                if not len(h):
-                    continue
-                lang = of[a:b][row]
-                order = np.lexsort((lang, h))
-                head = order[np.flatnonzero(np.r_[True, (h[order][1:] != h[order][:-1]) | (lang[order][1:] != lang[order][:-1])])]
-                at = np.flatnonzero(np.r_[True, (h[order][1:] != h[order][:-1]) | (lang[order][1:] != lang[order][:-1])])
-                c = np.diff(np.r_[at, len(order)])
-                held.append(_entries(h[head], lang[head], 0, c))
-                for n in LENGTHS:
-                    word, key = _grams(low, starts[head], ends[head], n)
-                    held.append(_merge([_entries(key, lang[head][word], n, c[word])]))
-                if sum(map(len, held)) > HELD:
-                    held = [_merge(held)]
-                    if len(held[0]) > HELD // 2:
+                if len(h):
+                    held.append(_added([(h, of[a:b][row].astype(np.int64), np.ones(len(h), np.int64), low, starts, ends)]))
+                if sum(len(x[0]) for x in held) > 3 * HELD:
+                    held = [_added(held)]
+                    if len(held[0][0]) > HELD:
                         yield flush(held)
                         held = []
         if held:
@@ -120,7 +137,7 @@ def _counts(docs: DataFrame, langs: list[str], buckets: int) -> DataFrame:
             for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 got = by.setdefault(bucket, [])
                 got.append(np.frombuffer(raw.as_buffer(), _ENTRY))
-                if len(got) > 1 and sum(map(len, got[1:])) > max(HELD, len(got[0])):
+                if len(got) > 1 and sum(map(len, got[1:])) > max(MERGED, len(got[0])):
                     by[bucket] = [_merge(got)]
         for got in by.values():
             x = _merge(got)
@@ -133,22 +150,32 @@ def _counts(docs: DataFrame, langs: list[str], buckets: int) -> DataFrame:
 
 
 def _model(counts: DataFrame, langs: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By kind: sorted keys, and log frequency in each language."""
+    """By kind: sorted keys, and log frequency in each language.
+
+    A language's quota is filled by its own counts; a key that one language chooses has its counts in all of them.
+    """
     totals = {(r["kind"], r["lang"]): r["c"] for r in counts.groupBy("kind", "lang").agg(F.sum("c").alias("c")).collect()}
     level = F.floor(8 * F.log2("c")).cast("int")
-    spread: dict[int, dict[int, int]] = {}
-    for r in counts.groupBy("kind", level.alias("l")).agg(F.count("*").alias("n")).collect():
-        spread.setdefault(r["kind"], {})[r["l"]] = r["n"]
-    out = {}
-    for kind, sizes in spread.items():
-        room, least = (WORDS if kind == 0 else GRAMS), 99_999
+    spread: dict[tuple[int, int], dict[int, int]] = {}
+    for r in counts.groupBy("kind", "lang", level.alias("l")).agg(F.count("*").alias("n")).collect():
+        spread.setdefault((r["kind"], r["lang"]), {})[r["l"]] = r["n"]
+    rows = []
+    for (kind, lang), sizes in spread.items():
+        room, least = (WORDS if kind == 0 else GRAMS) // langs, 99_999
         for l in sorted(sizes, reverse=True):
             room -= sizes[l]
             if room < 0:
                 break
             least = l
-        got = counts.filter((F.col("kind") == kind) & (level >= least)).select("h", "lang", "c").toArrow()
-        h, lang, c = (got[x].to_numpy() for x in ("h", "lang", "c"))
+        rows.append((kind, lang, least))
+    limits = F.broadcast(counts.sparkSession.createDataFrame(rows, "kind int, lang int, least int"))  # a row for each language and kind
+    chosen = counts.join(limits, ["kind", "lang"]).filter(level >= F.col("least")).select("kind", "h").distinct()
+    got = counts.join(chosen, ["kind", "h"], "left_semi").select("kind", "h", "lang", "c").toArrow()
+    out = {}
+    kinds = got["kind"].to_numpy()
+    for kind in np.unique(kinds).tolist():
+        mine = kinds == kind
+        h, lang, c = (got[x].to_numpy()[mine] for x in ("h", "lang", "c"))
         keys, at = np.unique(h.view(np.uint64), return_inverse=True)
         table = np.full((len(keys), langs), SMOOTH, np.float64)
         table[at, lang] += c
@@ -195,7 +222,9 @@ def language_id(docs: DataFrame) -> DataFrame:
     score is the posterior of the predicted language.
 
     Rows with a null doc_id count as held out.  Repeated rows count as often as they occur and get equal results.
-    If nothing can be learned every row is ``und``.  Other columns are ignored; an empty table gives no rows.
+    Of languages with equal sums the first by name wins.  If nothing can be learned every row is ``und``.  A text is read
+    in one piece, in memory of some 60 times its size.  Other columns are ignored, whatever their names; an empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     shared.ship(spark)
