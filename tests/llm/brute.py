@@ -181,3 +181,78 @@ def main_texts(rows):
         for page_id, page in pages:
             out[page_id] = page.text({i for i, (t, _, _) in enumerate(page.tokens) if t in drop})
     return out
+
+
+def kneser_ney_bits(rows, order=5, symbols=4096):
+    """{doc_id: mean -log2 probability of the characters that end an n-gram} of [(doc_id, text, language)], by dictionaries."""
+    plain = lambda t: re.sub(r"[\t\n\v\f\r]", " ", t or "")
+    grams = lambda t: [t[i : i + order] for i in range(len(t) - order + 1)]
+    counts = defaultdict(Counter)
+    for _, text, lang in rows:
+        counts[lang].update(grams(plain(text)))
+    models = {}
+    for lang, own in counts.items():
+        levels = {order: own}
+        for n in range(order - 1, 0, -1):
+            levels[n] = Counter(g[1:] for g in levels[n + 1])
+        model = {}
+        for n, level in levels.items():
+            n1, n2, n3, n4 = (sum(c == i for c in level.values()) for i in (1, 2, 3, 4))
+            if min(n1, n2, n3, n4) == 0:
+                cut = [0, 0.5, 1.0, 1.5]
+            else:
+                y = n1 / (n1 + 2 * n2)
+                bounds = ((0.05, 0.95), (0.1, 1.9), (0.15, 2.85))
+                cut = [0, *(min(max(x, lo), hi) for x, (lo, hi) in zip((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3), bounds, strict=True))]
+            total, given = Counter(), Counter()
+            for g, c in level.items():
+                total[g[:-1]] += c
+            kept = {g: c for g, c in level.items() if c >= (1 if n < 3 else 2)}
+            for g, c in kept.items():
+                given[g[:-1]] += (c - cut[min(c, 3)]) / total[g[:-1]]
+            model[n] = (kept, cut, total, given)
+        models[lang] = model
+
+    def p(model, g):
+        if not g:
+            return 1 / symbols
+        kept, cut, total, given = model[len(g)]
+        if g[:-1] not in given:
+            return p(model, g[1:])
+        c = kept.get(g, 0)
+        return (c - cut[min(c, 3)]) / total[g[:-1]] + (1 - given[g[:-1]]) * p(model, g[1:])
+
+    out = {}
+    for doc, text, lang in rows:
+        own = grams(plain(text))
+        out[doc] = -sum(math.log2(p(models[lang], g)) for g in own) / len(own) if own else None
+    return out
+
+
+def perplexity_bands(rows, bits, passed, fence=3.0, short=400.0, step=1e-3):
+    """{doc_id: kept} of [(doc_id, text, language)] with the bits of each, for those that pass the base rules."""
+    by = defaultdict(list)
+    for doc, _, lang in rows:
+        if doc in passed and bits[doc] is not None:
+            by[lang].append(math.floor(bits[doc] / step))
+    out = {}
+    for doc, text, lang in rows:
+        out[doc] = False
+        if doc in passed and bits[doc] is not None:
+            x = sorted(by[lang])
+            q1, q3 = (x[math.ceil(q * len(x)) - 1] * step for q in (0.25, 0.75))
+            spread = max(q3 - q1, 0.02)
+            slack = fence * spread * (math.sqrt(1 + short / max(1, sum(map(len, words(text))))) - 1)
+            out[doc] = q1 - fence * spread - slack <= bits[doc] <= q3 + fence * spread + slack
+    return out
+
+
+def notices(words_, sets, least=0.75):
+    """{license} of [(license, shingles, words, words of a shingle)] of which a stretch of the words holds enough shingles."""
+    out = set()
+    for name, own, size, k in sets:
+        room = size + size // 8
+        at = [tuple(words_[i : i + k]) for i in range(len(words_) - k + 1)]
+        if any(len(own & set(at[i : i + room - k + 1])) >= least * len(own) for i in range(max(1, len(at) - (room - k)))):
+            out.add(name)
+    return out
