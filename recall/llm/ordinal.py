@@ -6,9 +6,9 @@ Grade g of a text follows ``P(grade <= g) = sigmoid(cut_g - w . x)`` with increa
 scaled to length 1, so one telling word counts as much in a long text as in a short one.
 
 Training reads at most about ``SAMPLE`` labelled texts, taken by a hash of doc_id.  Spark counts features by
-grade; those that are much more frequent in lower grades (by z-score, at most ``FEATURES``) enter the fit, which
-runs on the driver over the lists of selected features only.  Their weights are at most 0: a feature is a sign
-of a defect, and the number of ordinary words of a text neither helps nor harms it.
+grade; those that are ``LIFT`` times as frequent on one side of a cut as on the other, either way, and by z-score (at
+most ``FEATURES``), enter the fit, which runs on the driver over the lists of selected features only, with signed weights
+and a penalty on their squares.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ SAMPLE = 20_000
 WIDTH = 1 << 20
 FEATURES = 8192
 LEAST_COUNT, LEAST_Z = 4, 4.5
-#: A feature must be so many times as frequent below a cut as above it.
+#: A feature must be so many times as frequent on one side of a cut as on the other.
 LIFT = 3.0
 #: Bytes of the beginnings of words that are features, besides whole words.
 BEGINNINGS = (4, 6)
@@ -104,12 +104,13 @@ def _chosen(sample: DataFrame) -> np.ndarray:
             a, b = c[:, :cut].sum(1), c[:, cut:].sum(1)
             rate = (a + b) / (below + above)
             z = (a / below - b / above) / np.sqrt(np.maximum(rate * (1 - rate), 1e-9) * (1 / below + 1 / above))
-            best = np.maximum(best, np.where(a / below >= LIFT * b / above, z, 0.0))
+            low, high = np.minimum(a / below, b / above), np.maximum(a / below, b / above)
+            best = np.maximum(best, np.where(high >= LIFT * low, np.abs(z), 0.0))
     order = np.lexsort((got["feature"].to_numpy(), -best))[:FEATURES]
     return np.sort(got["feature"].to_numpy()[order[best[order] >= LEAST_Z]])
 
 
-def fit(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int, steps: int = 500, rate: float = 0.2, shrink: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int, steps: int = 300, rate: float = 0.2, shrink: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and cuts by gradient steps (Adam) on the mean log loss plus ``shrink`` / 2n of squared weights."""
     n = len(grades)
     share = np.cumsum(np.bincount(grades, minlength=GRADES) + 1.0)[:-1] / (n + GRADES)
@@ -137,7 +138,6 @@ def fit(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int,
             g[width + 1 + i] = g_cut[i + 1 :].sum() * np.exp(x[width + 1 + i])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         x -= rate * (1 - t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-10)
-        x[:width] = np.minimum(x[:width], 0.0)
     return x[:width], x[width] + np.concatenate([[0], np.cumsum(np.exp(x[width + 1 :]))])
 
 
@@ -153,10 +153,12 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5, c
     counts.  tail_probability is that of the highest grade, kept where it is at least ``least``.  ``carry`` names
     columns of ``docs`` to return first instead of doc_id.
 
-    A text that is null or has no word is rejected, with grade and probability 0.  Labels without quality or without a document are ignored.
-    Repeated document rows get equal results.  If the labels have fewer than two grades nothing can be learned:
-    grade and probability are null and every text with a word is kept.  Other columns are ignored; an empty
-    table gives no rows.
+    A text that is null or has no word is rejected, with grade and probability 0.  Labels without quality or without a
+    document are ignored.  Repeated document rows get equal results; of several texts of one labelled doc_id the one with
+    the smallest hash is learned from.  If the labels have fewer than two grades nothing can be learned: grade and
+    probability are null and every text with a word is kept.  A probability of exactly ``least`` is kept.  A text is read
+    in one piece, in memory of some 80 times its size.  Other columns are ignored, whatever their names; an empty table
+    gives no rows.
     """
     spark = docs.sparkSession
     shared.ship(spark)
@@ -169,7 +171,8 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, least: float = 0.5, c
     share = min(1.0, SAMPLE / max(1, number))
     picked = shared.save(rated.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)), "picked")
     texts = shared.maybe(docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()), shared.bloom(picked.select(F.col("doc_id").alias("id"))))
-    sample = shared.save(texts.dropDuplicates(["doc_id"]).join(picked, "doc_id").select("text", "grade", "doc_id"), "sample")
+    first_text = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")  # of several texts of a doc_id always the same
+    sample = shared.save(texts.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(first_text).join(picked, "doc_id").select("text", "grade", "doc_id"), "sample")
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]") & F.col("text").isNotNull()
     if sample.agg(F.count_distinct("grade")).first()[0] < 2:
         none = F.lit(None).cast("double")
