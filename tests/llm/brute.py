@@ -98,33 +98,58 @@ def benchmark_pairs(docs, items, least=0.75, k=5):
     return out
 
 
-def url_templates(pages, ratings, rules, levels, support, share, differs, prior, least):
+def url_templates(pages, ratings, rules, support, alike, differs, prior, least):
     """{page_id: (host, path, rule, verdict)} by the template tree, a step at a time in plain loops."""
     rows = []
     for page, url in pages:
         rest = url.split("://", 1)[1] if url and "://" in url else ""
         host = lower(re.match(r"[^/?#]*", rest)[0])
         path = re.match(r"[^/?#]*([^?#]*)", rest)[1]
-        rows.append([page, host, path, path[1:].split("/")[:levels] if path else [""], ""])
-    for level in range(levels):
+        rows.append([page, host, path, path[1:].split("/") if path else [""], "", True])
+
+    def close(level):
+        nodes = defaultdict(list)
+        for r in rows:
+            if r[5]:
+                nodes[r[1], r[4]].append(r)
+        for own in nodes.values():
+            marks = [ratings[r[0]] for r in own if r[0] in ratings]
+            if not (max(len(r[3]) for r in own) > level and len(own) >= support and 0 < sum(marks) < len(marks)):
+                for r in own:
+                    r[5] = False
+
+    level = 0
+    close(0)
+    while any(r[5] for r in rows):
         count, rated, good = Counter(), Counter(), Counter()
+        live = [r for r in rows if r[5]]
         key = lambda r: (r[1], r[4], r[3][level] if level < len(r[3]) else "")
-        for r in rows:
+        for r in live:
             for k in (key(r), key(r)[:2]):
                 count[k] += 1
                 if r[0] in ratings:
                     rated[k] += 1
                     good[k] += ratings[r[0]]
-        step = {}
-        for k in {key(r) for r in rows}:
-            up, literal = k[:2], False
+        literal = defaultdict(list)
+        for k in {key(r) for r in live}:
+            up = k[:2]
             n, rest = rated[k], rated[up] - rated[k]
-            if count[k] >= support and count[k] >= share * count[up] and not re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", k[2]) and n and rest:
+            if count[k] >= support and not re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", k[2]) and n and rest:
                 p = good[up] / rated[up]
-                literal = abs(good[k] / n - (good[up] - good[k]) / rest) > differs * math.sqrt(p * (1 - p) * (1 / n + 1 / rest))
-            step[k] = k[2] if literal else "*"
-        for r, new in [(r, r[4] + ("/" + step[key(r)] if level < len(r[3]) else "")) for r in rows]:
-            r[4] = new
+                if abs(good[k] / n - (good[up] - good[k]) / rest) > differs * math.sqrt(p * (1 - p) * (1 / n + 1 / rest)):
+                    literal[(*up, math.floor(round(math.asin(math.sqrt((good[k] + 1) / (n + 2))) / (math.pi / 2 / alike), 9)))].append(k)
+        step = {}
+        for own in literal.values():
+            first = min(k[2] for k in own)
+            for k in own:
+                step[k] = first + (f" +{len(own) - 1}" if len(own) > 1 else "")
+        for r, k in [(r, key(r)) for r in live]:
+            if level < len(r[3]):
+                r[4] += "/" + step.get(k, "*")
+            else:
+                r[5] = False
+        level += 1
+        close(level)
     rated, good = Counter(), Counter()
     for r in rows:
         for k in ((r[1], r[4]), (r[1],), ()):
@@ -133,7 +158,7 @@ def url_templates(pages, ratings, rules, levels, support, share, differs, prior,
                 good[k] += ratings[r[0]]
     every = good[()] / rated[()] if rated[()] else 1.0
     out = {}
-    for page, host, path, _, t in rows:
+    for page, host, path, _, t, _ in rows:
         up = (good[host,] + prior * every) / (rated[host,] + prior)
         purity = round((good[host, t] + prior * up) / (rated[host, t] + prior), 9)
         fit = [(len(r), r, v) for v, r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]

@@ -496,16 +496,30 @@ def test_url_filter(spark):
     odd = [(9001, None), (9002, "abc"), (9003, "HTTP://Ex.Org/ES/x?y"), (9004, "http://a.example.org/es/"), (9005, "http://org"), (9006, "x://ORG/q#z"), (9007, "http://a.b.com?x=/de/")]
     rng = random.Random(6)
     odd += [(10_000 + i, f"http://big.net/{'ab'[i % 2]}/{i}") for i in range(200)]
+    # a bad branch below the fourth segment, a rare one on a large host, and branches that are alike
+    odd += [(20_000 + i, f"http://deep.net/x/{i % 7}/y/z/{'uvw'[i % 3]}/{'kl'[i % 2]}/{i}") for i in range(300)]
+    odd += [(30_000 + i, f"http://wide.net/{'rare' if i < 12 else f's{i % 40}'}/{i}") for i in range(2000)]
+    odd += [(None, "http://wide.net/rare/1"), (30_001, "http://wide.net/rare/1")]
     pages = pages.union(spark.createDataFrame(odd, "page_id long, url string"))
-    rated = url_filter.page_ratings(pages, table(spark, "labels", "/root/testdata/sf0.01")).union(spark.createDataFrame([(10_000 + i, i % 2 == 0 or rng.random() < 0.1) for i in range(200)], "page_id long, good boolean"))
+    rated = url_filter.page_ratings(pages, table(spark, "labels", "/root/testdata/sf0.01"))
+    marks = [(10_000 + i, i % 2 == 0 or rng.random() < 0.1) for i in range(200)] + [(20_000 + i, i % 3 != 1 or i % 2 == 0) for i in range(300)]
+    marks += [(30_000 + i, i >= 12 and not 2 <= i % 40 <= 5) for i in range(2000)]
+    rated = rated.union(spark.createDataFrame(marks, "page_id long, good boolean"))
     ratings = {}
     for r in rated.collect():
         ratings[r["page_id"]] = min(int(r["good"]), ratings.get(r["page_id"], 1))
-    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.url_filter(pages, rated).collect()}
-    want = brute.url_templates([tuple(r) for r in pages.collect()], ratings, url_filter.RULES, url_filter.LEVELS, url_filter.SUPPORT, url_filter.SHARE, url_filter.DIFFERS, url_filter.PRIOR, url_filter.LEAST)
+    pages = pages.selectExpr("page_id", "url", "'x' AS host", "'y' AS t", "1 AS n", "null AS good", "'z' AS segs").repartition(3)
+    rows = url_filter.url_filter(pages, rated).collect()
+    assert len(rows) == pages.count()
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in rows}
+    pages = pages.select("page_id", "url")
+    want = brute.url_templates([tuple(r) for r in pages.collect()], ratings, url_filter.RULES, url_filter.SUPPORT, url_filter.ALIKE, url_filter.DIFFERS, url_filter.PRIOR, url_filter.LEAST)
     assert got == want
-    assert {v[3] for k, v in got.items() if k >= 10_000 and k % 2} == {"block"}
-    assert {v[3] for k, v in got.items() if k >= 10_000 and not k % 2} == {"allow"}
+    of = lambda lo, n, bad: {v[3] for k, v in got.items() if k and lo <= k < lo + n and bad(k - lo)}
+    assert of(10_000, 200, lambda i: i % 2) == {"block"} and of(10_000, 200, lambda i: not i % 2) == {"allow"}
+    assert of(20_000, 300, lambda i: i % 6 == 1) == {"block"} and of(20_000, 300, lambda i: i % 6 != 1) == {"allow"}
+    assert of(30_000, 2000, lambda i: i < 12 or 2 <= i % 40 <= 5) == {"block"}
+    assert "/s2 +3/*" in {r["template"].removeprefix("wide.net") for r in rows} or "/rare +4" in {r["template"].removeprefix("wide.net") for r in rows}
 
 
 # ---- odd tables
