@@ -22,6 +22,30 @@ class Settings:
     include_expired: bool = True
     prefetch_seconds: float = 8.0
     heading: str = "## Memory"
+    vaults: str = "~/Notes,~/Documents/Notes"
+    project: str = "local"
+    location: str = "us-central1"
+    engine_id: str = ""
+    generation_model: str = "identity"
+    embedding_model: str = "none"
+
+    @property
+    def note_roots(self) -> list[str]:
+        """Folders of notes that are read when none are named."""
+        return [x.strip() for x in self.vaults.split(",") if x.strip()]
+
+    # Formats of resource names.
+    @property
+    def generation_model_path(self) -> str:
+        return f"projects/{self.project}/locations/{self.location}/publishers/google/models/{self.generation_model}"
+
+    @property
+    def embedding_model_path(self) -> str:
+        return f"projects/{self.project}/locations/{self.location}/publishers/google/models/{self.embedding_model}"
+
+    @property
+    def engine_name(self) -> str | None:
+        return f"projects/{self.project}/locations/{self.location}/reasoningEngines/{self.engine_id}" if self.engine_id else None
 
     @property
     def revision_ttl_seconds(self) -> int:

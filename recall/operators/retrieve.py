@@ -38,8 +38,14 @@ def merge(bank: DataFrame, warehouse: DataFrame, local: DataFrame, top_k: int) -
     return ranked.select("rank", "origin", "fact")
 
 
-def prompt_context(hits: DataFrame, *by: str) -> DataFrame:
-    """One text per group of ``by``: a bullet for each fact, in order of ``rank``."""
+def prompt_context(hits: DataFrame, *by: str, top_k: int | None = None) -> DataFrame:
+    """One text per group of ``by``: a bullet for each fact, in order of ``rank``; with ``top_k`` of the first so many ranks.
+
+    The rank limit (a window that Spark cuts down before the shuffle) bounds what is gathered for one group.
+    """
+    if top_k is not None:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("rank"))
+        hits = hits.withColumn("_n", place).filter(F.col("_n") <= top_k).drop("_n")
     lines = F.array_sort(F.collect_list(F.when(F.coalesce("fact", F.lit("")) != "", F.struct("rank", F.concat(F.lit("- "), "fact").alias("line")))))
     joined = F.concat_ws("\n", F.transform(lines, lambda x: x["line"])).alias("prompt_context")
     return hits.groupBy(*by).agg(joined)

@@ -181,10 +181,10 @@ def _(spark, d):
     return retrieve.dedupe_facts(m, text.dedupe_key(F.col("fact")), F.col("created_at"), F.col("memory_id")).select("memory_id", "fact")
 
 
-@query("prompt_context", f"WITH {X.MEMORIES} SELECT user_id, md5(string_agg('- ' || fact, chr(10) ORDER BY CAST(memory_id AS BIGINT)) FILTER (fact <> '')) AS context_md5 FROM memories GROUP BY user_id")
+@query("prompt_context", f"WITH {X.MEMORIES} SELECT user_id, md5(string_agg('- ' || fact, chr(10) ORDER BY rank) FILTER (fact <> '')) AS context_md5 FROM (SELECT user_id, fact, CAST(memory_id AS BIGINT) AS rank FROM memories QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank) <= 20) GROUP BY user_id")
 def _(spark, d):
     hits = X.memories(spark, d).select("user_id", F.col("memory_id").cast("long").alias("rank"), "fact")
-    return retrieve.prompt_context(hits, "user_id").select("user_id", F.md5("prompt_context").alias("context_md5"))
+    return retrieve.prompt_context(hits, "user_id", top_k=20).select("user_id", F.md5("prompt_context").alias("context_md5"))
 
 
 @query("truthy_coalesce", "SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN NULL ELSE lang END, ''), nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE source END, ''), 'none') AS value FROM documents")
@@ -375,11 +375,12 @@ def _(spark, d):
     return read_only(spark, "SELECT user_id, count(*) AS n FROM recall_memories GROUP BY user_id ORDER BY n DESC, user_id").limit(50)
 
 
-@query("local_scan")
+@query("local_scan", "SELECT CAST(doc_id AS VARCHAR) AS id, text AS content FROM documents ORDER BY doc_id LIMIT 50")
 def _(spark, d):
-    """The first 50 rows of a SQLite file, which is made here from all documents, row by row."""
-    home = tempfile.mkdtemp(prefix="recall-local-")
-    with sqlite3.connect(f"{home}/memory.db") as db:
-        db.execute("CREATE TABLE memories (id INTEGER, content TEXT)")
-        db.executemany("INSERT INTO memories VALUES (?, ?)", map(tuple, X.table(spark, d, "documents").select("doc_id", "text").toLocalIterator()))
-    return local.read_local(spark, home, 50)
+    """The first 50 rows of a SQLite store that is made here, from as many rows."""
+    rows = X.table(spark, d, "documents").select("doc_id", "text").orderBy("doc_id").limit(50).collect()
+    with tempfile.TemporaryDirectory(prefix="recall-local-") as home:
+        with sqlite3.connect(f"{home}/memory.db") as db:
+            db.execute("CREATE TABLE memories (id INTEGER, content TEXT)")
+            db.executemany("INSERT INTO memories VALUES (?, ?)", map(tuple, rows))
+        return spark.createDataFrame(local.read_local(spark, home, 50).collect(), "id string, content string")

@@ -85,8 +85,11 @@ def read_local(spark: SparkSession, home: str, limit: int = 50) -> DataFrame:
 
 
 def facts_of(rows: DataFrame) -> DataFrame:
-    """The fact of each local row: the first of fact, content and text that has something."""
+    """(fact, at): the first of fact, content and text that has something, and the row's place in the store.
+
+    The store is read by one task, so row numbers follow its order.
+    """
     from ..functions.text import first_truthy
 
     have = [F.col(c) for c in ("fact", "content", "text") if c in rows.columns]
-    return rows.select((first_truthy(*have) if have else F.lit(None).cast("string")).alias("fact"))
+    return rows.select((first_truthy(*have) if have else F.lit(None).cast("string")).alias("fact"), F.monotonically_increasing_id().alias("at"))
