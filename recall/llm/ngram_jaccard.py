@@ -413,7 +413,8 @@ def _classes(docs: DataFrame, k: int, percent: int, fragments: int | None, round
         low = joined.groupBy("component").agg(F.min("least").alias("low"))
         mapped = joined.join(low, "component").select("sig", "component", "low")
         known = nodes.join(mapped, "sig", "left").select("sig", F.coalesce("component", "sig").alias("label"), F.coalesce("low", "least").alias("least"))
-    best = rows.join(known, "sig", "left")
+    # both sides are read from tables, so that a text with very many copies can be split over tasks
+    best = rows.join(shared.save(known, "known"), "sig", "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return best.select("doc_id", "key", "n", "sig", F.when(linked, F.col("label")).alias("label"), F.when(linked, F.col("least")).alias("least"))
 
@@ -450,14 +451,18 @@ def first_of_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     """
     columns = docs.columns
     rows = shared.save(_classes(_texts(docs), k, percent, None, 1).filter(F.col("label").isNotNull()).select("doc_id", "key", "label"), "rows")
-    place = F.struct("doc_id", "key")
-    first = rows.groupBy("label").agg(F.min(place).alias("first"))
-    marked = rows.groupBy("label", "doc_id", "key").agg(F.count("*").alias("n")).join(first, "label")
-    # a text has one label, so (doc_id, key) names the rows of one class
-    out = shared.save(marked.filter((F.col("first") != place) | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), (F.col("first") == place).alias("_stays")), "gone")
+    # a text has one label, so (doc_id, key) names the rows of one class, and no group is gathered
+    first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.*", F.lit(True).alias("stays"))
+    marked = rows.groupBy("doc_id", "key").agg(F.count("*").alias("n")).join(first, ["doc_id", "key"], "left")
+    out = marked.filter(F.col("stays").isNull() | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.coalesce("stays", F.lit(False)).alias("_stays"))
+    out = shared.save(out, "gone")
     shared.forget(rows)
+    # only rows that may be among them are moved
+    held = shared.bloom(out.select(F.col("_id").alias("id")))
     own = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.xxhash64(F.col("text").cast("string"))})
-    kept = own.join(out, ["_id", "_key"], "left_anti").select(*columns)
-    again = own.join(out.filter("_stays").select("_id", "_key"), ["_id", "_key"])
-    again = again.groupBy("_id", "_key").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
-    return kept.unionByName(again)
+    rest = [c for c in own.columns if c not in ("doc_id", "text")]
+    plain = shared.maybe(own, held, wanted=False, columns=rest, key="_id").select(*columns)
+    some = shared.maybe(own, held, columns=rest, key="_id").join(out, ["_id", "_key"], "left")
+    kept = some.filter(F.col("_stays").isNull()).select(*columns)
+    again = some.filter("_stays").groupBy("_id", "_key").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+    return plain.unionByName(kept).unionByName(again)

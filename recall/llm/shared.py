@@ -110,8 +110,8 @@ def bloom(ids: DataFrame):
     return ids.sparkSession.sparkContext.broadcast(bits)
 
 
-def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple = (), run=None, schema: StructType | str | None = None) -> DataFrame:
-    """(doc_id, text) and ``columns`` of the rows whose doc_id the filter may hold, or surely does not hold; texts pass as they are.
+def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple = (), run=None, schema: StructType | str | None = None, key: str = "doc_id") -> DataFrame:
+    """(doc_id, text) and ``columns`` of the rows whose ``key`` the filter may hold, or surely does not hold; texts pass as they are.
 
     With ``run`` its result (of ``schema``) for the batches of these rows, in the same Python worker.
     """
@@ -130,7 +130,7 @@ def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:-2]], names)
 
     names = ["doc_id", "text", *columns]
-    one, two = _bits("doc_id")
+    one, two = _bits(key)
     rows = docs.select(*names, one.alias("_one"), two.alias("_two"))
     if run is None:
         return rows.mapInArrow(has, docs.select(*names).schema)
