@@ -3,6 +3,10 @@
 The sequential scans of the textbook method are done bucket by bucket: within the bucket of one symbol all
 entries that are known induce their predecessors at once, and only entries of that same symbol need another
 round.  The work stays linear in the text; the Python overhead depends on the alphabet, not on the length.
+
+Reduced texts have as many symbols as there are different leftmost-smaller substrings, and most buckets are tiny.  There
+ranges of symbols are scanned at once: a range goes as far as no suffix in it depends on one of another symbol in it,
+which for n symbols in no particular order gives some square root of n ranges.
 """
 
 from __future__ import annotations
@@ -11,8 +15,8 @@ import numpy as np
 
 from . import arrays
 
-#: Above this many symbols a reduced text is sorted by rank doubling instead of another induction.
-SYMBOLS = 2048
+#: Above this many symbols ranges of them are induced at once instead of one symbol after another.
+SYMBOLS = 512
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -79,19 +83,81 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, size: int) -> np.
     return np.concatenate(parts)[::-1]
 
 
-def _doubled(t: np.ndarray) -> np.ndarray:
-    """Suffix order by doubling the compared length."""
-    rank = np.unique(t, return_inverse=True)[1].astype(np.int64) + 1
-    n, step = len(t), 1
-    while True:
-        key = rank << 32
-        key[: n - step] |= rank[step:] if step < n else 0
-        order = np.argsort(key, kind="stable")
-        new = np.zeros(n, np.int64)
-        new[order] = np.cumsum(np.r_[1, (key[order[1:]] != key[order[:-1]]).astype(np.int64)])
-        if new[order[-1]] == n or step >= n:
-            return order
-        rank, step = new, 2 * step
+def _rounds(first: np.ndarray, t: np.ndarray, small: np.ndarray, kind: bool) -> np.ndarray:
+    """``first`` and, after them, round by round, the suffixes that put one more of the same symbol before them."""
+    out, now = [first], first
+    while len(now):
+        before = now[now > 0] - 1
+        now = before[(t[before] == t[before + 1]) & (small[before] == kind)]
+        if len(now):
+            out.append(now)
+    return np.concatenate(out) if len(out) > 1 else first
+
+
+def _by_symbol(t: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own = suffixes[np.argsort(t[suffixes], kind="stable")]
+    return own, t[own]
+
+
+def _induce_ranges(t: np.ndarray, small: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
+    """As ``_induce``, by ranges of symbols: what a range needs lies in the ranges before, or is of the same symbol."""
+    n = len(t)
+    here = np.arange(n)
+    seeds, seed_symbol = _by_symbol(t, lms)
+    larger, larger_symbol = _by_symbol(t, here[~small])
+    rank = np.zeros(n + 1, np.int64)
+    rank[n] = -1  # the empty suffix is least
+    end = np.r_[t, -1]
+    fall = larger[end[larger + 1] < larger_symbol]  # these depend on another symbol
+    reach = np.full(size + 1, size, np.int64)
+    inner = fall[fall + 1 < n]
+    np.minimum.at(reach, t[inner + 1], t[inner])
+    reach = np.minimum.accumulate(reach[::-1])[::-1]
+    fall, fall_symbol = _by_symbol(t, fall)
+    done: list[np.ndarray] = []
+    lo = count = 0
+    while lo < size:
+        hi = int(reach[lo])
+        first = fall[np.searchsorted(fall_symbol, lo) : np.searchsorted(fall_symbol, hi)]
+        first = first[np.lexsort((rank[first + 1], t[first]))]
+        own = _rounds(first, t, small, False)
+        more = seeds[np.searchsorted(seed_symbol, lo) : np.searchsorted(seed_symbol, hi)]
+        both = np.concatenate([own, more])
+        if len(both):
+            key = 2 * t[both]
+            key[len(own) :] += 1
+            both = both[np.argsort(key, kind="stable")]
+            rank[both] = count + np.arange(len(both))
+            count += len(both)
+            done.append(both)
+        lo = hi
+    scanned = np.concatenate(done)
+    larger = scanned[~small[scanned]][::-1]  # downwards
+    larger_symbol = t[larger]
+    smaller, smaller_symbol = _by_symbol(t, here[small])
+    rise = smaller[t[np.minimum(smaller + 1, n - 1)] > smaller_symbol]
+    reach = np.full(size + 1, -1, np.int64)
+    np.maximum.at(reach, t[rise + 1], t[rise])
+    reach = np.maximum.accumulate(reach)
+    rise, rise_symbol = _by_symbol(t, rise)
+    parts: list[np.ndarray] = []
+    hi, count = size, 0
+    while hi > 0:
+        lo = int(reach[hi - 1]) + 1
+        first = rise[np.searchsorted(rise_symbol, lo) : np.searchsorted(rise_symbol, hi)]
+        first = first[np.lexsort((rank[first + 1], -t[first]))]
+        own = _rounds(first, t, small, True)
+        more = larger[np.searchsorted(-larger_symbol, -(hi - 1)) : np.searchsorted(-larger_symbol, -lo, "right")]
+        both = np.concatenate([own, more])
+        if len(both):
+            key = -2 * t[both]
+            key[: len(own)] -= 1
+            both = both[np.argsort(key, kind="stable")]
+            rank[both] = count + np.arange(len(both))
+            count += len(both)
+            parts.append(both)
+        hi = lo
+    return np.concatenate(parts)[::-1]
 
 
 def suffix_array(t: np.ndarray, size: int = 256) -> np.ndarray:
@@ -99,12 +165,12 @@ def suffix_array(t: np.ndarray, size: int = 256) -> np.ndarray:
     n = len(t)
     if n < 2:
         return np.arange(n)
-    if size > SYMBOLS:
-        return _doubled(t)
+    t = t.astype(np.int64) if size > SYMBOLS else t
+    induce = _induce_ranges if size > SYMBOLS else _induce
     small = _types(t)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if len(lms) > 1:
-        guess = _induce(t, small, lms, size)
+        guess = induce(t, small, lms, size)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
         order = guess[is_lms[guess]]
@@ -122,7 +188,7 @@ def suffix_array(t: np.ndarray, size: int = 256) -> np.ndarray:
             of[order] = name
             order = lms[suffix_array(of[lms], int(name[-1]) + 1)]
         lms = order
-    return _induce(t, small, lms, size)
+    return induce(t, small, lms, size)
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:

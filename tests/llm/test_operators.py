@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recall.llm import decontaminate, html_extract, license_scan, ngram_jaccard, ordinal, packing, perplexity, suffix_dedup, url_filter
+from recall.llm import decontaminate, html_extract, license_scan, ngram_jaccard, ordinal, packing, perplexity, suffix, suffix_dedup, url_filter
 from recall.llm.decontaminate import benchmark_matches, without_benchmark
 from recall.llm.language_id import language_id
 from recall.llm.ordinal import quality_classifier
@@ -55,6 +55,27 @@ def test_suffix_array_of_all_small_texts():
         assert suffix_array(t).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
 
 
+@pytest.mark.parametrize("symbols", [512, 1])
+def test_suffix_array_by_recursion(monkeypatch, symbols):
+    """Large alphabets, runs and repeats, at every depth of the recursion, by symbol and by ranges of symbols."""
+    monkeypatch.setattr(suffix, "SYMBOLS", symbols)
+    rng = np.random.default_rng(4)
+    deep = []
+    whole = suffix.suffix_array
+    monkeypatch.setattr(suffix, "suffix_array", lambda t, size=256: (deep.append(size), whole(t, size))[1])
+    for i in range(120):
+        n = int(rng.integers(2, 400))
+        t = rng.integers(0, [2, 5, 40, 3000][i % 4], n)
+        if i % 3 == 0:
+            t = np.concatenate([t, t[: n // 2], np.full(n // 4, t[0]), t])
+        own = t.tolist()
+        assert suffix.suffix_array(t, int(t.max()) + 1).tolist() == sorted(range(len(own)), key=lambda j: own[j:])
+    text = prose(random.Random(1), 9000).encode()
+    got = suffix.suffix_array(np.frombuffer(text * 2, np.uint8))
+    assert got.tolist() == sorted(range(2 * len(text)), key=lambda j: (text * 2)[j : j + 2000] if j < len(text) else (text * 2)[j:])
+    assert max(deep) > 3000  # a reduced text with many symbols was sorted by recursion, not otherwise
+
+
 def test_common_prefixes():
     b = b"the cat and the cat and the dog " * 9
     t = np.frombuffer(b, np.uint8)
