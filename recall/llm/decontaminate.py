@@ -243,9 +243,10 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, least:
     weighing log(1 + items / items that have it), and fingerprints at most RADIUS bits apart; the reported window
     is the first that passes in order of distance and place.
 
-    Items of fewer than ``k`` words are one shingle.  Null and empty texts and items match nothing.  Repeated
-    document rows match each for themselves; repeated items once.  A null doc_id or item_id is returned as null.
-    Other columns are ignored; an empty table on either side gives no rows.
+    Items of fewer than ``k`` words are one shingle.  Null and empty texts and items match nothing.  A similarity of
+    exactly ``least`` is a match.  A text is hashed in one piece, in memory of some 60 times its size.  Repeated document
+    rows match each for themselves; repeated items once.  A null doc_id or item_id is returned as null.  Other columns are
+    ignored, whatever their names; an empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     shared.ship(spark)

@@ -243,8 +243,10 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
     ids or, at the end of a shard, a power of two.  ids_crc32 is of the piece's ids as little-endian unsigned
     32-bit numbers; sequence_id is unique, offsets in a sequence leave no gap.
 
-    A null or empty text is ``end_id`` alone.  Repeated rows and null ids are documents like others.  Texts of
-    any length are cut into as many pieces as they need.  Other columns are ignored; an empty table gives no rows.
+    A null or empty text is ``end_id`` alone.  Repeated rows and null ids are documents like others.  Texts of any length are
+    cut into as many pieces as they need; a text is tokenised in one piece, in memory of some 40 times its size.  Of
+    neighbours with equal scores the earlier row comes first.  Other columns are ignored, whatever their names; an empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     shared.ship(spark)

@@ -6,6 +6,9 @@ read, not a recomputation of everything before.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,15 +26,21 @@ from .. import session
 BLOOM_WORDS = 1 << 18
 
 _own: dict[str, str] = {}
+_scopes: list[list[DataFrame]] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where that is unset (tests), a temporary folder."""
+    """``spark.checkpoint.dir`` of the session.  Where that is unset a local session (as in tests) gets a temporary folder;
+    on a cluster that would be a folder of one machine, so there it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if "dir" not in _own:
-        _own["dir"] = "file://" + tempfile.mkdtemp(prefix="recall-shared-")
+        made = tempfile.mkdtemp(prefix="recall-shared-")
+        atexit.register(shutil.rmtree, made, True)
+        _own["dir"] = f"file://{made}"
     return _own["dir"]
 
 
@@ -41,16 +50,32 @@ def save(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._recall_path = path
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
+@contextlib.contextmanager
+def scope() -> Iterator[None]:
+    """Tables that are saved inside are deleted at the end: what is made of them must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for table in _scopes.pop():
+            forget(table)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete a table of ``save`` that nothing reads any more."""
     path = getattr(df, "_recall_path", None)
     if path:
-        spark = df.sparkSession
-        where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        delete(df.sparkSession, path)
 
 
 #: Bytes of an Arrow batch that go to a Python worker at a time (a longer row is a batch of its own).

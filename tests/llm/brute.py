@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 from recall.llm import html_extract
@@ -281,3 +282,34 @@ def notices(words_, sets, least=0.75):
         if any(len(own & set(at[i : i + room - k + 1])) >= least * len(own) for i in range(max(1, len(at) - (room - k)))):
             out.add(name)
     return out
+
+
+def languages(rows, smooth=0.5):
+    """{doc_id: (language, score)} of [(doc_id, text, language)] of ASCII letters, learned from those that are not held out."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    names = sorted({lang for i, _, lang in rows if not held(i)})
+    grams = lambda w, n: [x for j in range(len(w) + 3 - n) if (x := f" {w} "[j : j + n]) != " "]
+    count = defaultdict(Counter)
+    for i, text, lang in rows:
+        if not held(i):
+            for w in text.lower().split():
+                count[0][w, lang] += 1
+                for n in (4, 3, 2, 1):
+                    for g in grams(w, n):
+                        count[n][g, lang] += 1
+    keys = {k: {x for x, _ in c} for k, c in count.items()}
+    total = {k: Counter() for k in count}
+    for k, c in count.items():
+        for (_, lang), v in c.items():
+            total[k][lang] += v
+    log = lambda k, x, lang: math.log((count[k][x, lang] + smooth) / (total[k][lang] + smooth * (len(keys[k]) + 1)))
+    out = {}
+    for i, text, _ in rows:
+        sums = dict.fromkeys(names, 0.0)
+        for w in text.lower().split():
+            kind, own = (0, [w]) if w in keys[0] else next(((n, found) for n in (4, 3, 2, 1) if (found := [g for g in grams(w, n) if g in keys[n]])), (0, []))
+            for lang in names:
+                sums[lang] += sum(log(kind, x, lang) for x in own) / max(1, len(own))
+        best = max(sorted(names), key=lambda x: sums[x])
+        out[i] = best, 1 / sum(math.exp(v - sums[best]) for v in sums.values())
+    return out

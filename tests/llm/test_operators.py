@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from recall.llm import decontaminate, html_extract, license_scan, ngram_jaccard, ordinal, packing, perplexity, suffix, suffix_dedup, url_filter
 from recall.llm.decontaminate import benchmark_matches, without_benchmark
+from recall.llm import language_id as language_id_module
 from recall.llm.language_id import language_id
 from recall.llm.ordinal import quality_classifier
 from recall.llm.shared import components
@@ -70,10 +71,11 @@ def test_suffix_array_by_recursion(monkeypatch, symbols):
             t = np.concatenate([t, t[: n // 2], np.full(n // 4, t[0]), t])
         own = t.tolist()
         assert suffix.suffix_array(t, int(t.max()) + 1).tolist() == sorted(range(len(own)), key=lambda j: own[j:])
-    text = prose(random.Random(1), 9000).encode()
-    got = suffix.suffix_array(np.frombuffer(text * 2, np.uint8))
-    assert got.tolist() == sorted(range(2 * len(text)), key=lambda j: (text * 2)[j : j + 2000] if j < len(text) else (text * 2)[j:])
-    assert max(deep) > 3000  # a reduced text with many symbols was sorted by recursion, not otherwise
+    text = prose(random.Random(1), 2500).encode()
+    text += text[:2000]
+    got = suffix.suffix_array(np.frombuffer(text, np.uint8))
+    assert got.tolist() == sorted(range(len(text)), key=lambda j: text[j:])
+    assert max(deep) > 512  # a reduced text with many symbols was sorted by recursion, not otherwise
 
 
 def test_common_prefixes():
@@ -560,10 +562,68 @@ ROW_EACH = ("perplexity", "jaccard", "dedup", "language", "quality")
 
 @pytest.mark.parametrize("name", list(OPERATORS))
 def test_odd_rows(spark, name):
+    """Each operator's stated result for nulls, empty and long texts, repeated rows and clashing names."""
     got = OPERATORS[name](frame(spark, odd_rows())).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append(r)
     if name in ROW_EACH:
         ids = lambda rows: sorted((d is None, d or 0) for d in rows)
         assert ids(r["doc_id"] for r in got) == ids(d for d, _ in odd_rows())
+        assert by[6][0] == by[6][1]  # the repeated row
+    if name == "packing":
+        sizes = lambda d: sorted(r["length"] for r in by[d] if r["start"] == 0)
+        assert sizes(0) == sizes(1) == sizes(2) == [1] and sizes(3) == sizes(4)
+        for d, text in odd_rows():
+            copies = sum(x == d for x, _ in odd_rows())
+            if d is not None:
+                assert sum(r["length"] for r in by[d]) == copies * by[d][0]["doc_tokens"]
+        assert sum(r["doc_tokens"] for r in by[None] if r["start"] == 0) == by[5][0]["doc_tokens"] + 1
+        assert max(r["doc_tokens"] for r in got) > 2048  # cut into several
+    elif name == "license":
+        assert got == []
+    elif name == "benchmark":
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(3, 1), (4, 1)]
+    elif name == "perplexity":
+        assert [by[d][0]["base_failed"] for d in (0, 1, 2, 3, 9, 10)] == [True] * 6
+        assert by[0][0]["perplexity"] is None and by[9][0]["word_chars"] == 5000 and by[10][0]["n_words"] == 8000
+    elif name == "language":
+        assert {by[d][0]["lang_pred"] for d in by} == {"und"}  # nothing can be learned from null languages
+    elif name == "quality":
+        assert not any(by[d][0]["kept"] for d in (0, 1, 2))
+        assert by[0][0]["tail_probability"] == 0 and by[8][0]["kept"] is not None
+
+
+def test_odd_columns_and_ties(spark):
+    """Null labels, ties of equal scores, and of several texts of one labelled id always the same one."""
+    rows = [(1, "same words here and there"), (1, "other words here and there"), (2, "same words here and there"), (3, "bad bad bad things"), (None, "x y z")]
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (2, None, None), (None, 0, 0), (1, 1, None)], "doc_id long, quality int, toxic int")
+    runs = [sorted(map(str, quality_classifier(frame(spark, rows[::step]), labels).collect())) for step in (1, -1)]
+    assert runs[0] == runs[1]
+    twin = [(i, "uno dos tres", lang) for i in range(40) for lang in ("xx", "yy")]
+    got = language_id(spark.createDataFrame(twin, LANG)).collect()
+    assert {r["lang_pred"] for r in got} == {"xx"} and all(abs(r["score"] - 0.5) < 1e-6 for r in got)
+
+
+def test_language_with_a_hot_one(spark, monkeypatch):
+    """A small language keeps its words beside one with a hundred times as many, whatever the room."""
+    monkeypatch.setattr(language_id_module, "WORDS", 200)
+    monkeypatch.setattr(language_id_module, "GRAMS", 200)
+    rng = random.Random(31)
+    words = {"aa": ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(3000)], "bb": ["".join(rng.choice("hijklmnopqrstu") for _ in range(6)) for _ in range(80)]}
+    rows = [(i, " ".join(rng.choice(words[l]) for _ in range(30)), l) for i, l in enumerate(["aa"] * 900 + ["bb"] * 20)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id(spark.createDataFrame(rows, LANG)).collect()}
+    assert np.mean([got[i] == l for i, _, l in rows]) > 0.99
+
+
+def test_language_scores_by_hand(spark):
+    """Words that are known by their log frequency, unknown ones by their longest known n-grams, worked out plainly."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["ala", "bela", "cola", "dua", "xyz", "q"]) + rng.choice(["", "", "n", "nu"]) for _ in range(rng.randint(1, 6))), rng.choice(["l1", "l2"])) for i in range(60)]
+    got = {r["doc_id"]: r for r in language_id(spark.createDataFrame(rows, LANG)).collect()}
+    want = brute.languages(rows)
+    for i, (name, score) in want.items():
+        assert got[i]["lang_pred"] == name and abs(got[i]["score"] - score) < 1e-4
 
 
 @pytest.mark.parametrize("name", list(OPERATORS))

@@ -3,7 +3,9 @@
 from collections import defaultdict
 
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
 
+from recall.llm import shared
 from recall.llm.ordinal import quality_classifier
 
 from . import brute
@@ -85,9 +87,32 @@ def test_repeats_keep_genuine_characters(spark):
 
 
 def test_odd_documents(spark):
-    """Nulls in every column, empty texts and repeated rows pass all stages without a crash."""
-    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "some words of a text without an id that is long enough", "en", None, 5)] + [(3, "the same text twice " * 20, "en", "s", 400)] * 2
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    """Nulls in every column, empty, long and repeated texts, and columns with the operators' own names, through all stages."""
+    long = " ".join(f"word{i * 7919 % 10007}" for i in range(40_000))
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "some words of a text without an id that is long enough", "en", None, 5), (4, long, None, "s", None), (5, long + " end", "en", "s", 1)]
+    rows += [(3, "the same text twice " * 20, "en", "s", 400)] * 2
+    docs = spark.createDataFrame([(*r, "a", "b", 1) for r in rows], SCHEMA + ", sig string, label string, _id int")
+    seen = {}
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, DATA)
+        seen[name] = [r.asDict() for r in docs.collect()]
+        if name != "packing":
+            assert docs.columns == pipeline.COLUMNS
+    assert not {1, 2} & {r["doc_id"] for r in seen["quality"]}
+    kept = {r["doc_id"] for r in seen["quality"]}
+    assert {r["doc_id"] for r in seen["near_copies"]} == kept - ({5} if 4 in kept else set())
+    assert len(seen["near_copies"]) == len({r["doc_id"] for r in seen["near_copies"]})
+    assert {r["doc_id"] for r in seen["packing"]} == {r["doc_id"] for r in seen["decontaminate"]}
+
+
+def test_empty_documents(spark):
+    docs = documents(spark, []).withColumn("token", F.lit("x"))
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, DATA)
-    docs.collect()
+    assert docs.collect() == []
+
+
+def test_run_leaves_one_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "folder", lambda spark: f"file://{tmp_path}")
+    assert pipeline.run(spark, DATA).count() > 0
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["pipeline"]
