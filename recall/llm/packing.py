@@ -1,13 +1,17 @@
 """Lexical retrieval packing: sequences filled with documents that a BM25 index finds alike.
 
-The index is sharded: a task cuts its rows, in order, into shards of at most ``SHARD_DOCS`` documents and about
-``SHARD_TOKENS`` tokens, so a shard's memory is bounded and nothing is shuffled.  In a shard, a seed document
-opens a sequence; its words query the shard's inverted index, and the best documents that are not used yet fill
-the sequence one after another.  The one that reaches the end is cut, and its rest seeds the next sequence.
-What is left at the end of a shard is cut into sequences whose lengths are powers of two, which need no padding.
+The index is sharded by likeness.  Every document of the corpus is routed by the least hash of its words, which documents
+with a share J of common words have in common with probability J; documents are dealt by ranges of (route, hash of the id),
+so that copies meet whichever part of the input they came from, and a group of copies that is too large for a partition is
+cut.  A task cuts its rows, in this order, into shards of at most ``SHARD_DOCS`` documents and about ``SHARD_TOKENS`` tokens,
+so a shard's memory is bounded.  In a shard, a seed document opens a sequence; its words query the shard's inverted index,
+and the best documents that are not used yet fill the sequence one after another.  The one that reaches the end is cut, and
+its rest seeds the next sequence.  What is left at the end of a shard is cut into sequences whose lengths are powers of two,
+which need no padding.
 
 Texts are tokenised through the distinct parts of their words: the tokenizer's pieces never cross white space,
-nor borders between letters, digits and marks, so the ids of a text are those of its parts in order.
+nor borders between letters, digits and marks, so the ids of a text are those of its parts in order.  Only ids travel; the
+words of a document are read off them again, as runs of ids up to one that ends a word.
 """
 
 from __future__ import annotations
@@ -234,6 +238,48 @@ def pack(sizes: np.ndarray, index: Index, window: int) -> list[list[tuple[int, i
 
 
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+def terms(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The words of a document as numbers made of their first three ids; the end mark is no word."""
+    own = ids[:-1].astype(np.uint64)
+    if not len(own):
+        return own
+    ends = last[ids[:-1]]
+    begin = np.flatnonzero(np.r_[True, ends[:-1]])
+    size = np.diff(np.r_[begin, len(own)])
+    out = own[begin] + np.uint64(1)
+    for j in (1, 2):
+        more = np.flatnonzero(size > j)
+        out[more] |= (own[begin[more] + j] + np.uint64(1)) << np.uint64(20 * j)
+    return out
+
+
+def _tokenised(rows: DataFrame, path: str, end_id: int) -> DataFrame:
+    """(route, doc_id, ids) of each row; ids as little-endian unsigned 32-bit numbers with the end mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words.of(path)
+        for batch in batches:
+            for a, b, buf, off in arrays.text_pieces(batch, "text", 3 * arrays.PIECE_BYTES):
+                low, starts, ends, whole, first = _parts(buf, off)
+                h = arrays.Rolling(low).of(starts, ends)
+                flat, size = words.tokens(low, starts, ends, whole, h)
+                at = np.concatenate([[0], np.cumsum(size)])[first]
+                # the end mark of each row goes in after its ids
+                every = np.insert(flat, at[1:], np.uint32(end_id)).astype("<u4")
+                stop = (at + np.arange(b - a + 1)).astype(np.int64) * 4
+                route = np.full(b - a, -1, np.int64)
+                some = np.flatnonzero(np.diff(first))
+                if len(some):
+                    route[some] = (np.minimum.reduceat(arrays.mix(h ^ np.uint64(0x51ED270B)), first[:-1][some]) >> np.uint64(1)).astype(np.int64)
+                ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(stop), pa.py_buffer(every)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(route), batch.column(0).slice(a, b - a), ids], ["route", "doc_id", "ids"])
+        if len(words.hash) > KEPT:
+            words.clear()
+
+    return rows.mapInArrow(arrays.lean(run), "route long, doc_id long, ids binary")
 
 
 def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -245,26 +291,26 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
 
     A null or empty text is ``end_id`` alone.  Repeated rows and null ids are documents like others.  Texts of any length are
     cut into as many pieces as they need; a text is tokenised in one piece, in memory of some 40 times its size.  Of
-    neighbours with equal scores the earlier row comes first.  Other columns are ignored, whatever their names; an empty
-    table gives no rows.
+    neighbours with equal scores the earlier row of the shard comes first.  Other columns are ignored, whatever their names;
+    an empty table gives no rows.
     """
     spark = docs.sparkSession
     shared.ship(spark)
+    path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
+    last = spark.sparkContext.broadcast(Words.of(path).last)  # a bit for each id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words.of(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
         sequence = TaskContext.get().partitionId() << 40
         ids: list = []
         tokens: list[np.ndarray] = []
-        terms: list[np.ndarray] = []
         held = 0
 
         def done() -> pa.RecordBatch:
             nonlocal sequence
             sizes = np.array([len(x) for x in tokens])
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in _NAMES]
             parts = []
-            for pieces in pack(sizes, Index(terms), window):
+            for pieces in pack(sizes, Index([terms(x, last.value) for x in tokens]), window):
                 offset = 0
                 for doc, start, length in pieces:
                     part = tokens[doc][start : start + length]
@@ -275,33 +321,24 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
                     offset += length
                 sequence += 1
             columns = [pa.array(x, pa.int64()) for x in rows]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if with_ids:
                 columns.append(pa.array(parts, pa.list_(pa.int64())))
-                names.append("ids")
-            return pa.RecordBatch.from_arrays(columns, names)
+            return pa.RecordBatch.from_arrays(columns, [*_NAMES, "ids"] if with_ids else _NAMES)
 
         for batch in batches:
-            for a, b, buf, off in arrays.text_pieces(batch, "text", 3 * arrays.PIECE_BYTES):
-                low, starts, ends, whole, first = _parts(buf, off)
-                h = arrays.Rolling(low).of(starts, ends)
-                flat, size = words.tokens(low, starts, ends, whole, h)
-                at = np.concatenate([[0], np.cumsum(size)])
-                for i, doc in enumerate(batch.column(0).slice(a, b - a).to_pylist()):
-                    own = np.empty(at[first[i + 1]] - at[first[i]] + 1, "<u4")
-                    own[:-1] = flat[at[first[i]] : at[first[i + 1]]]
-                    own[-1] = end_id
-                    if ids and (len(ids) >= SHARD_DOCS or held + len(own) > SHARD_TOKENS):
-                        yield done()
-                        ids, tokens, terms, held = [], [], [], 0
-                    ids.append(doc)
-                    tokens.append(own)
-                    terms.append(h[first[i] : first[i + 1]].copy())
-                    held += len(own)
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(raw.as_buffer(), "<u4").copy()
+                if ids and (len(ids) >= SHARD_DOCS or held + len(own) > SHARD_TOKENS):
+                    yield done()
+                    ids, tokens, held = [], [], 0
+                ids.append(doc)
+                tokens.append(own)
+                held += len(own)
         if ids:
             yield done()
-        if len(words.hash) > KEPT:
-            words.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(arrays.lean(run), _SCHEMA + (", ids array<long>" if with_ids else ""))
+    # written, since dealing by ranges looks at the routes first and would tokenise twice
+    table = shared.save(_tokenised(rows, path, end_id), "ids").withColumn("turn", F.xxhash64("doc_id"))
+    dealt = table.repartitionByRange(shared.parts(spark), "route", "turn").sortWithinPartitions("route", "turn", "doc_id")
+    return dealt.select("doc_id", "ids").mapInArrow(arrays.lean(run), _SCHEMA + (", ids array<long>" if with_ids else ""))

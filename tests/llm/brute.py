@@ -313,3 +313,15 @@ def languages(rows, smooth=0.5):
         best = max(sorted(names), key=lambda x: sums[x])
         out[i] = best, 1 / sum(math.exp(v - sums[best]) for v in sums.values())
     return out
+
+
+def bm25(docs, seed, k1, b):
+    """Score of each document for the words of ``docs[seed]``; words of one document and those of most don't count."""
+    df = Counter(w for x in docs for w in set(x))
+    mean = max(1.0, sum(map(len, docs)) / len(docs))
+    idf = {w: math.log((len(docs) - n + 0.5) / (n + 0.5)) for w, n in df.items() if n > 1}
+    out = []
+    for x in docs:
+        tf = Counter(x)
+        out.append(sum(idf[w] * tf[w] * (k1 + 1) / (tf[w] + k1 * (1 - b + b * len(x) / mean)) for w in set(docs[seed]) if w in tf and idf.get(w, 0) > 0))
+    return out

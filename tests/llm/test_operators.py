@@ -299,6 +299,45 @@ def test_pack_covers_every_token(sizes, rng):
     assert [sorted(x) for x in seen] == [list(range(n)) for n in sizes]
 
 
+def test_index_against_plain_bm25():
+    """Scores of all documents for each seed, and the greedy choice of unused neighbours."""
+    rng = random.Random(13)
+    words = [[rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 25))] for _ in range(40)]
+    index = packing.Index([np.array([ord(w) for w in x], np.uint64) for x in words])
+    for seed in range(40):
+        assert np.allclose(index.scores(seed), brute.bm25(words, seed, packing.K1, packing.B))
+    out = packing.pack(np.array([len(x) for x in words]), index, 64)
+    opened = set()
+    for pieces in out[:-1]:
+        if sum(n for _, _, n in pieces) == 64 and len(pieces) > 2:
+            seed, first = pieces[0][0], pieces[1][0]
+            scores = brute.bm25(words, seed, packing.K1, packing.B)
+            used = opened | {seed}
+            assert scores[first] == max(scores[d] for d in range(40) if d not in used) or scores[first] <= 0
+        opened |= {d for d, _, _ in pieces}
+
+
+def test_terms_of_ids():
+    last = np.array([False, True, False, True, True])
+    got = packing.terms(np.array([2, 2, 1, 3, 0, 0, 0, 3, 4, 1]), last).tolist()
+    code = lambda *x: sum((y + 1) << (20 * j) for j, y in enumerate(x))
+    assert got == [code(2, 2, 1), code(3), code(0, 0, 0), code(4)]
+    assert packing.terms(np.array([1]), last).tolist() == []
+
+
+def test_copies_meet_in_a_sequence(spark):
+    """Copies from far parts of the input are packed together."""
+    rng = random.Random(17)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(150)) for _ in range(300)]
+    rows = [(i, texts[i % 300]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    sequences = defaultdict(set)
+    for r in packing.pack_documents(df, window=512).collect():  # a text is some 450 ids: the copy of a cut one comes next
+        sequences[r["sequence_id"]].add(r["doc_id"])
+    together = {d for own in sequences.values() for d in own if (d + 300) % 600 in own}
+    assert len(together) > 0.9 * 600
+
+
 def test_benchmark_matches(spark):
     docs, items = table(spark, "documents"), table(spark, "benchmark")
     rng = random.Random(4)
