@@ -214,7 +214,9 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, perce
     """
     part = PART
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    bloom = shared.bloom(nodes.join(wanted, "sig").select(F.col("least").alias("id")))
+    ids = shared.save(nodes.join(wanted, "sig").select(F.col("least").alias("id")), "ids")
+    bloom = shared.bloom(ids)
+    shared.forget(ids)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

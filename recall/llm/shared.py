@@ -16,14 +16,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import session
 
-#: 64-bit words of the filters of ``bloom``: their size is fixed, whatever they hold.
-BLOOM_WORDS = 1 << 18
+#: Least and largest number of 64-bit words of the filters of ``bloom``; between them they have 16 bits for each id.
+BLOOM_WORDS = 1 << 12, 1 << 22
 
 _own: dict[str, str] = {}
 _scopes: list[list[DataFrame]] = []
@@ -122,27 +123,39 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())
 
 
-def _bits(column: str) -> list:
-    return [F.pmod(F.xxhash64(column, F.lit(s)), F.lit(BLOOM_WORDS * 64)) for s in (1, 2)]
+class Bloom:
+    """A broadcast Bloom filter; a false hit only costs time."""
 
+    def __init__(self, bits: Broadcast, words: int):
+        self.bits, self.words = bits, words
 
-def bloom(ids: DataFrame):
-    """A broadcast Bloom filter of fixed size over column ``id``; a false hit only costs time."""
-    bit = ids.select(F.explode(F.array(*_bits("id"))).alias("bit"))
+    def destroy(self) -> None:
+        self.bits.destroy()
+
+
+def _bits(column: str, words: int) -> list:
+    return [F.pmod(F.xxhash64(column, F.lit(s)), F.lit(words * 64)) for s in (1, 2)]
+
+
+def bloom(ids: DataFrame) -> Bloom:
+    """A filter over column ``id``, of a size that follows their number up to 32 MiB."""
+    least, most = BLOOM_WORDS
+    words = min(most, max(least, 1 << (max(1, ids.count() // 4) - 1).bit_length()))
+    bit = ids.select(F.explode(F.array(*_bits("id", words))).alias("bit"))
     rows = bit.groupBy((F.col("bit") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("v")).toArrow()
-    bits = np.zeros(BLOOM_WORDS, np.int64)
+    bits = np.zeros(words, np.int64)
     bits[rows["w"].to_numpy()] = rows["v"].to_numpy()
-    return ids.sparkSession.sparkContext.broadcast(bits)
+    return Bloom(ids.sparkSession.sparkContext.broadcast(bits), words)
 
 
-def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple = (), run=None, schema: StructType | str | None = None, key: str = "doc_id") -> DataFrame:
+def maybe(docs: DataFrame, held: Bloom, wanted: bool = True, columns: list[str] | tuple = (), run=None, schema: StructType | str | None = None, key: str = "doc_id") -> DataFrame:
     """(doc_id, text) and ``columns`` of the rows whose ``key`` the filter may hold, or surely does not hold; texts pass as they are.
 
     With ``run`` its result (of ``schema``) for the batches of these rows, in the same Python worker.
     """
 
     def has(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
+        bits = sent.value
         for batch in batches:
             hit = np.ones(batch.num_rows, bool)
             for i in (-2, -1):
@@ -155,7 +168,8 @@ def maybe(docs: DataFrame, held, wanted: bool = True, columns: list[str] | tuple
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:-2]], names)
 
     names = ["doc_id", "text", *columns]
-    one, two = _bits(key)
+    sent = held.bits
+    one, two = _bits(key, held.words)
     rows = docs.select(*names, one.alias("_one"), two.alias("_two"))
     if run is None:
         return rows.mapInArrow(has, docs.select(*names).schema)

@@ -328,6 +328,9 @@ def suffix_dedup(docs: DataFrame, length: int = 100, carry: list[str] | None = N
     later = hot.join(best, ["one", "two"]).filter(F.col("best") != place)
     columns = ["doc", "ver", "at", "n"]
     gone = marks.filter(F.col("key").isNull()).select(*columns).union(found.filter(F.col("one").isNull()).select(*columns)).union(later.select(*columns))
+    gone = shared.save(gone, "gone")
+    shared.forget(marks)
+    shared.forget(found)
     held = shared.bloom(gone.select(F.col("doc").alias("id")))
     lists = gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("ver", "at", "n")).alias("marks"))
     known = full.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
