@@ -8,7 +8,8 @@ passes only those on.  Overlaps are counted apart in each fragment and summed fo
 prefixes (an upper bound of the whole overlap follows and drops most pairs), then over fragments of the whole
 sets (the exact overlap).
 
-Large groups.  Documents with equal sets are one node.  In a large bucket of one shingle every member is first
+Large groups.  A shingle of very many sets is known as such from the counts behind the order; its entries are spread by
+set instead of meeting in the task of its fragment.  Documents with equal sets are one node.  In a large bucket of one shingle every member is first
 compared with the few it shares most with, so a group of m near copies costs a multiple of m comparisons; once
 members are known to be connected no pair of them is made.  Only pairs that cross components are then compared,
 and all of those are, so the components are exact.
@@ -29,6 +30,8 @@ from .shared import components
 
 #: Size of the table of frequent shingles that all tasks hold (12 bytes each); it only shapes the order.
 FREQUENT = 400_000
+#: Frequency class (a power of two) from which on a shingle's entries don't meet in the task of their fragment.
+HOT = 10
 #: Pairs of a member that are tried before all of them are.
 TOP = 3
 #: Shingles of a set, on average, in one fragment when whole sets are compared (rounded up to a power-of-two number).
@@ -109,6 +112,8 @@ def _signature(value: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarra
     return arrays.mix(out + n.astype(np.uint64)).view(np.int64)
 
 
+#: Lists of documents' rows, and of the entries of hot shingles, that parts of the input send along.
+_LISTS = ["ids", "keys", "ns", "sigs", "tokens", "owners", "sizes"]
 _ENTRY = np.dtype([("sig", "<i8"), ("n", "<u4"), ("cnt", "<u4")])
 
 
@@ -116,7 +121,13 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
     """Per part of the input and fragment, the prefix parts of its sets; and (doc_id, hash of the text, n, signature) of all rows."""
 
     def flush(held: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
-        frag, token, sig, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        frag, token, sig, n, often = (np.concatenate(x) for x in zip(*held, strict=True))
+        # entries of hot shingles, each set once, pass by the fragments
+        spread = (frag[often].astype(np.int64) << 32) + token[often], sig[often], n[often].astype(np.int64)
+        by = np.lexsort((spread[1], spread[0]))
+        by = by[np.r_[True, (spread[0][by][1:] != spread[0][by][:-1]) | (spread[1][by][1:] != spread[1][by][:-1])][: len(by)]]
+        spread = tuple(x[by] for x in spread)
+        frag, token, sig, n = (x[~often] for x in (frag, token, sig, n))
         order = np.argsort(frag, kind="stable")
         cut = np.searchsorted(frag[order], np.arange(fragments + 1))
         keys, blobs = [], []
@@ -132,8 +143,9 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
         ns, sigs = (np.concatenate([x[i] for x in rows]) for i in (2, 3))
         none = pa.nulls(len(keys), pa.list_(pa.int64()))
         last = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(x, pa.int64())) for x in (ids, own, ns, sigs)]
+        last += [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.int64())) for x in spread]
         where = int(abs(int(sigs[0])) % fragments)
-        return pa.RecordBatch.from_arrays([pa.array([*keys, where], pa.int32()), pa.array([*blobs, None], pa.binary()), *(pa.concat_arrays([none, x]) for x in last)], ["frag", "prefix", "ids", "keys", "ns", "sigs"])
+        return pa.RecordBatch.from_arrays([pa.array([*keys, where], pa.int32()), pa.array([*blobs, None], pa.binary()), *(pa.concat_arrays([none, x]) for x in last)], ["frag", "prefix", *_LISTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, l = freq.value
@@ -158,7 +170,8 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
                 key = (place[at] & np.uint64((1 << 58) - 1)) >> np.uint64(58 - 32)
                 frag = ((key * np.uint64(fragments)) >> np.uint64(32)).astype(np.int32)
                 mine = np.repeat(np.arange(b - a), take)
-                held.append((frag, (place[at] & np.uint64(0xFFFFFFFF)).astype("<u4"), sig[mine], n[mine].astype(np.uint32)))
+                often = (place[at] >> np.uint64(58)) > HOT
+                held.append((frag, (place[at] & np.uint64(0xFFFFFFFF)).astype("<u4"), sig[mine], n[mine].astype(np.uint32), often))
                 rows.append((ids.slice(a, b - a), own.slice(a, b - a), n, sig))
                 if sum(len(x[0]) for x in held) > HELD:
                     yield flush(held, rows)
@@ -167,15 +180,15 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
             yield flush(held, rows)
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    return rows.mapInArrow(arrays.lean(run), "frag int, prefix binary, ids array<long>, keys array<long>, ns array<long>, sigs array<long>")
+    return rows.mapInArrow(arrays.lean(run), "frag int, prefix binary, " + ", ".join(f"{x} array<long>" for x in _LISTS))
 
 
 def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In one fragment: the shingles that two or more different sets have; documents' rows pass through."""
     heads: dict[int, list] = {}
-    names = ["doc_id", "key", "sig", "n", "token"]
+    names = ["doc_id", "key", "sig", "n", "token", "often"]
     for batch in batches:
-        for frag, blob, ids, keys, ns, sigs in zip(*(batch.column(i) for i in range(6)), strict=True):
+        for frag, blob, ids, keys, ns, sigs, tokens, owners, sizes in zip(*(batch.column(i) for i in range(9)), strict=True):
             if blob.is_valid:
                 raw = blob.as_buffer()
                 m = int(np.frombuffer(raw, "<u4", 1)[0])
@@ -183,7 +196,10 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 token = np.frombuffer(raw, "<u4", -1, 4 + m * _ENTRY.itemsize)
                 heads.setdefault(frag.as_py(), []).append((head, token))
             else:
-                yield pa.RecordBatch.from_arrays([ids.values, keys.values, sigs.values, ns.values, pa.nulls(len(ids.values), pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([ids.values, keys.values, sigs.values, ns.values, pa.nulls(len(ids.values), pa.int64()), pa.array(np.zeros(len(ids.values), bool))], names)
+                if len(tokens.values):
+                    none = pa.nulls(len(tokens.values), pa.int64())
+                    yield pa.RecordBatch.from_arrays([none, none, owners.values, sizes.values, tokens.values, pa.array(np.ones(len(none), bool))], names)
     for frag, got in heads.items():
         head = np.concatenate([x for x, _ in got])
         token = np.concatenate([x for _, x in got])
@@ -199,7 +215,7 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for i in range(0, len(token), 1 << 17):
             s = slice(i, i + (1 << 17))
             none = pa.nulls(len(sig[s]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32))], names)
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32)), pa.array(np.zeros(len(none), bool))], names)
 
 
 def _level(n: int, part: int) -> int:
@@ -372,10 +388,11 @@ def _classes(docs: DataFrame, k: int, percent: int, fragments: int | None, round
     fragments = fragments or shared.parts(spark)
     freq = spark.sparkContext.broadcast(_frequent(docs, k))
     pieces = _prefixes(docs, k, percent, fragments, freq)
-    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(arrays.lean(_shared_shingles), "doc_id long, key long, sig long, n long, token long"), "shingles")
+    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(arrays.lean(_shared_shingles), "doc_id long, key long, sig long, n long, token long, often boolean"), "shingles")
     freq.destroy()
     rows = found.filter(F.col("token").isNull()).select("doc_id", "key", "sig", "n")
-    tokens = found.filter(F.col("token").isNotNull()).select("token", "sig", "n")
+    tokens = found.filter(F.col("token").isNotNull() & ~F.col("often")).select("token", "sig", "n")
+    tokens = tokens.union(found.filter("often").select("token", "sig", "n").distinct())
     nodes = shared.save(rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sig").agg(F.min("doc_id").alias("least")), "nodes")
     labels = None
     links: list[DataFrame] = []

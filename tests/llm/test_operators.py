@@ -131,6 +131,7 @@ def test_components_of_near_copies(spark, monkeypatch, small):
     """Chains of edits, so that links hold between neighbours only; in small and in large buckets."""
     monkeypatch.setattr(ngram_jaccard, "SMALL", small)
     monkeypatch.setattr(ngram_jaccard, "CELL", 7)
+    monkeypatch.setattr(ngram_jaccard, "HOT", 2 if small == 1 else ngram_jaccard.HOT)
     monkeypatch.setattr(ngram_jaccard, "PART", 24 if small == 1 else ngram_jaccard.PART)
     rng, rows = random.Random(7), []
     for g in range(4):
