@@ -16,19 +16,23 @@ def _base_plus(unit: str, n) -> F.Column:
     return F.timestamp_add(unit, n.cast("int"), F.expr(f"timestamp_ntz'{BASE}'"))
 
 
-def memories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def memories(spark: SparkSession, sf_dir: str, embedding: bool = False, metadata: bool = False) -> DataFrame:
+    """The fact table; what a query does not read (vectors, metadata) is not joined, since a left join is never dropped."""
     d = table(spark, sf_dir, "documents")
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    q = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    if embedding:
+        d = d.join(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "left")
+    if metadata:
+        d = d.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     created = _base_plus("MINUTE", F.col("doc_id"))
-    return d.join(e, "doc_id", "left").join(q, "doc_id", "left").select(
+    more = [F.when(F.col("quality").isNull(), "null").otherwise(F.concat(F.lit('{"quality":'), F.col("quality").cast("string"), F.lit("}"))).alias("metadata")] if metadata else []
+    return d.select(
         F.col("doc_id").cast("string").alias("memory_id"),
         F.col("text").alias("fact"),
         F.concat(F.lit('{"user_id":"'), F.col("source"), F.lit('","agent_name":"'), F.col("lang"), F.lit('"}')).alias("scope"),
         F.col("source").alias("user_id"),
         F.col("lang").alias("agent_name"),
-        "embedding",
-        F.when(F.col("quality").isNull(), "null").otherwise(F.concat(F.lit('{"quality":'), F.col("quality").cast("string"), F.lit("}"))).alias("metadata"),
+        *(["embedding"] if embedding else []),
+        *more,
         F.when(F.col("doc_id") % 3 == 0, "session").otherwise("direct").alias("source"),
         created.alias("created_at"),
         created.alias("updated_at"),

@@ -113,12 +113,12 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query("vector_topk", _nearest_sql(f"AND json_extract_string(scope, '$.user_id') = '{USER}'"))
 def _(spark, d):
-    return _rounded(search.nearest(X.memories(spark, d), _vector(spark, d), 8, USER))
+    return _rounded(search.nearest(X.memories(spark, d, embedding=True), _vector(spark, d), 8, USER))
 
 
 @query("vector_unscoped", _nearest_sql(""))
 def _(spark, d):
-    return _rounded(search.nearest(X.memories(spark, d), _vector(spark, d), 8))
+    return _rounded(search.nearest(X.memories(spark, d, embedding=True), _vector(spark, d), 8))
 
 
 @query(
@@ -138,7 +138,7 @@ def _(spark, d):
     f"WITH {X.MEMORIES} SELECT fact, round({_cosine('embedding', FIRST)}, 6) + 0.0::DOUBLE AS distance, memory_id AS memory_name FROM memories WHERE embedding IS NOT NULL AND {_SCOPED} AND len(json_keys(scope)) = 2 ORDER BY {_cosine('embedding', FIRST)}, memory_id LIMIT 8",
 )
 def _(spark, d):
-    return _rounded(search.bank_retrieve(X.memories(spark, d), SCOPE, _vector(spark, d), 8))
+    return _rounded(search.bank_retrieve(X.memories(spark, d, embedding=True), SCOPE, _vector(spark, d), 8))
 
 
 K = 60
@@ -157,7 +157,7 @@ _DUAL = f"""WITH {X.MEMORIES},
 
 def _dual(spark: SparkSession, d: str) -> DataFrame:
     m = X.memories(spark, d)
-    bank = search.bank_retrieve(m, SCOPE, _vector(spark, d), K)
+    bank = search.bank_retrieve(X.memories(spark, d, embedding=True), SCOPE, _vector(spark, d), K)
     one = retrieve.leg(bank, "bank", 0, F.col("distance"), F.col("memory_name"), top_k=K)
     two = retrieve.leg(views.recent_for_user(m, USER, K), "warehouse", 1, F.desc("created_at"), F.col("memory_id"), top_k=K)
     docs = X.table(spark, d, "documents").filter(F.col("source").isin("src3", "src4")).select("doc_id", F.col("text").alias("fact"))
@@ -356,7 +356,7 @@ def _(spark, d):
 
 @query("metadata_null", f"WITH {X.MEMORIES} SELECT count(*) FILTER (metadata IS NULL) AS sql_null, count(*) FILTER (metadata = 'null') AS json_null, count(*) AS total FROM memories")
 def _(spark, d):
-    return X.memories(spark, d).agg(F.count_if(F.col("metadata").isNull()).alias("sql_null"), F.count_if(F.col("metadata") == "null").alias("json_null"), F.count("*").alias("total"))
+    return X.memories(spark, d, metadata=True).agg(F.count_if(F.col("metadata").isNull()).alias("sql_null"), F.count_if(F.col("metadata") == "null").alias("json_null"), F.count("*").alias("total"))
 
 
 @query("mock_hits", "SELECT '[mock] query #' || i AS fact, CAST(round(0.9 - 0.1 * i, 1) AS DOUBLE) AS score FROM range(3) t(i)")
