@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import sqlite3
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..bridge import Bridge
+from ..config import Settings
 from ..functions import text
 from ..operators import ingest, lifecycle, retrieve, search, views
 from ..sources import curated, local
 from ..sqltool import read_only
+from ..store import Store
+from ..streaming import events
 from . import fixtures as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,6 +380,58 @@ def _(spark, d):
     return read_only(spark, "SELECT user_id, count(*) AS n FROM recall_memories GROUP BY user_id ORDER BY n DESC, user_id").limit(50)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A fresh folder that driver and executors share; a local session's own where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{named.rstrip('/') if named else 'file://' + tempfile.mkdtemp(prefix='recall-stream-')}/stream-{uuid.uuid4().hex}"
+
+
+def _streamed(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark)
+    source = events.read_events(spark, d, names="conversations.parquet")
+    events.append_events(source, f"{out}/events", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/events")
+
+
+@query("stream_append", "SELECT conv_id, turn, role, text FROM conversations")
+def _(spark, d):
+    """Every event once, through the append stream."""
+    return _streamed(spark, d).drop("received_at")
+
+
+@query("stream_session_counts", "SELECT conv_id, count(*) AS event_count FROM conversations GROUP BY conv_id")
+def _(spark, d):
+    return events.session_counts(_streamed(spark, d))
+
+
+@query("stream_to_memory", f"WITH {_TURNS} SELECT fact, 'src0' AS user_id FROM facts")
+def _(spark, d):
+    """Facts of the turns of each micro-batch, written to the store by the stage behind the stream."""
+    store = _store(spark, "recall_stream_query")
+    source = events.read_events(spark, d, names="conversations.parquet")
+    events.for_each_batch(source, Bridge(store).session_to_memory, f"{_folder(spark)}/checkpoint").awaitTermination()
+    return store.table("memories").select("fact", "user_id")
+
+
+def _store(spark: SparkSession, database: str) -> Store:
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    store = Store(spark, Settings(database=database, user_id="src0"))
+    store.init()
+    return store
+
+
+@query("store_facts", f"WITH {_TURNS} SELECT fact, 'src' || (conv_id % 20) AS user_id, 'agent' AS agent_name, 'null' AS metadata, 'direct' AS source, TIMESTAMP '2025-06-01 12:00:00' AS expires_at FROM facts")
+def _(spark, d):
+    """Facts that were written to a new store, read back from its table."""
+    store = _store(spark, "recall_store_query")
+    f = ingest.turn_facts(X.table(spark, d, "conversations"))
+    rows = f.select("fact", F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")).alias("user_id"), F.lit("agent").alias("agent_name"))
+    store.remember(rows, F.expr(NOW))
+    return store.table("memories").select("fact", "user_id", "agent_name", "metadata", "source", "expires_at")
+
+
 @query("local_scan", "SELECT CAST(doc_id AS VARCHAR) AS id, text AS content FROM documents ORDER BY doc_id LIMIT 50")
 def _(spark, d):
     """The first 50 rows of a SQLite store that is made here, from as many rows."""

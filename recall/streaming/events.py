@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 EVENT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def read_events(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, files: int = 100) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+def read_events(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, files: int = 100, names: str = "*") -> DataFrame:
+    """Events of the files in ``folder`` whose names match a glob, ``files`` in a micro-batch at most."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", names).parquet(folder)
 
 
 def append_events(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
