@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from . import arrays, shared
 
 SHARD_DOCS, SHARD_TOKENS = 1024, 2_000_000
-#: Parts of words whose ids a worker remembers (about 40 bytes each), within a task and from task to task.
-REMEMBERED, KEPT = 1_000_000, 300_000
+#: Parts of words whose ids a worker remembers (about 40 bytes each), from task to task; then those go that came once.
+REMEMBERED = 1_200_000
 #: Parts of words that are encoded at a time.
 TOGETHER = 500
 K1, B = 1.2, 0.75
@@ -103,8 +103,20 @@ class Words:
         self.hash = np.zeros(0, np.uint64)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
 
+    def forget(self) -> None:
+        """Parts that came again since the last time stay, unless they are most of all."""
+        keep = self.uses > 1
+        if 2 * np.count_nonzero(keep) > REMEMBERED:
+            self.clear()
+            return
+        self.flat = self.flat[arrays.ragged(self.begin[keep], self.size[keep].astype(np.int64))]
+        self.hash, self.size = self.hash[keep], self.size[keep]
+        self.begin = np.cumsum(self.size, dtype=np.int64) - self.size
+        self.uses = np.ones(len(self.hash), np.int32)
+
     def encode(self, texts: list[str], whole: list[bool]) -> list:
         """Ids of each text.  Parts are encoded many at a time: each ends with the one token that ends a word."""
         out: list = [None] * len(texts)
@@ -127,7 +139,7 @@ class Words:
         """Ids of all parts, one after another, and the number of ids of each part."""
         names, at, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hash) > REMEMBERED:
-            self.clear()
+            self.forget()
         place = np.searchsorted(self.hash, names)
         new = np.ones(len(names), bool)
         some = place < len(self.hash)
@@ -143,7 +155,9 @@ class Words:
             self.hash = np.insert(self.hash, place[new], names[new])
             self.begin = np.insert(self.begin, place[new], begin)
             self.size = np.insert(self.size, place[new], size)
+            self.uses = np.insert(self.uses, place[new], 0)
             place = np.searchsorted(self.hash, names)
+        self.uses[place] += 1
         size = self.size[place].astype(np.int64)[back]
         return self.flat[arrays.ragged(self.begin[place][back], size)], size
 
@@ -151,11 +165,11 @@ class Words:
 class Index:
     """BM25 inverted index of one shard over the distinct words of its documents."""
 
-    def __init__(self, terms: list[np.ndarray]):
-        n = len(terms)
-        length = np.array([len(x) for x in terms], float)
+    def __init__(self, words: np.ndarray, length: np.ndarray):
+        """The words of all documents, one after another, and how many each has."""
+        n, length = len(length), length.astype(float)
         doc = np.repeat(np.arange(n), length.astype(np.int64))
-        names, word = np.unique(np.concatenate(terms) if n else np.zeros(0, np.uint64), return_inverse=True)
+        names, word = np.unique(words, return_inverse=True)
         pair, tf = np.unique(word.astype(np.int64) * n + doc, return_counts=True)
         word, doc = pair // n, pair % n
         df = np.bincount(word, minlength=len(names))
@@ -241,23 +255,27 @@ _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def terms(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The words of a document as numbers made of their first three ids; the end mark is no word."""
-    own = ids[:-1].astype(np.uint64)
-    if not len(own):
-        return own
-    ends = last[ids[:-1]]
-    begin = np.flatnonzero(np.r_[True, ends[:-1]])
-    size = np.diff(np.r_[begin, len(own)])
-    out = own[begin] + np.uint64(1)
+def terms(ids: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of documents (ids one after another, the end mark of each included) as numbers made of their first three
+    ids, and how many words each document has; the end marks are no words."""
+    marks = np.cumsum(sizes) - 1
+    stops = last[ids]
+    stops[marks] = True
+    begin = np.r_[0, np.flatnonzero(stops) + 1][:-1]
+    end = np.zeros(len(ids), bool)
+    end[marks] = True
+    begin = begin[~end[begin]]
+    out = ids[begin].astype(np.uint64) + np.uint64(1)
+    go = np.arange(len(begin))
     for j in (1, 2):
-        more = np.flatnonzero(size > j)
-        out[more] |= (own[begin[more] + j] + np.uint64(1)) << np.uint64(20 * j)
-    return out
+        go = go[~stops[begin[go] + j - 1]]
+        go = go[~end[begin[go] + j]]
+        out[go] |= (ids[begin[go] + j].astype(np.uint64) + np.uint64(1)) << np.uint64(20 * j)
+    return out, np.diff(np.searchsorted(begin, np.r_[0, marks + 1]))
 
 
-def _tokenised(rows: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(route, doc_id, ids) of each row; ids as little-endian unsigned 32-bit numbers with the end mark."""
+def _tokenised(rows: DataFrame, path: str, end_id: int, kind: str) -> DataFrame:
+    """(route, doc_id, ids) of each row; ids as numbers of ``kind`` with the end mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words.of(path)
@@ -268,16 +286,14 @@ def _tokenised(rows: DataFrame, path: str, end_id: int) -> DataFrame:
                 flat, size = words.tokens(low, starts, ends, whole, h)
                 at = np.concatenate([[0], np.cumsum(size)])[first]
                 # the end mark of each row goes in after its ids
-                every = np.insert(flat, at[1:], np.uint32(end_id)).astype("<u4")
-                stop = (at + np.arange(b - a + 1)).astype(np.int64) * 4
+                every = np.insert(flat.astype(kind), at[1:], np.array(end_id, kind))
+                stop = (at + np.arange(b - a + 1)).astype(np.int64) * every.itemsize
                 route = np.full(b - a, -1, np.int64)
                 some = np.flatnonzero(np.diff(first))
                 if len(some):
                     route[some] = (np.minimum.reduceat(arrays.mix(h ^ np.uint64(0x51ED270B)), first[:-1][some]) >> np.uint64(1)).astype(np.int64)
                 ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(stop), pa.py_buffer(every)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(route), batch.column(0).slice(a, b - a), ids], ["route", "doc_id", "ids"])
-        if len(words.hash) > KEPT:
-            words.clear()
 
     return rows.mapInArrow(arrays.lean(run), "route long, doc_id long, ids binary")
 
@@ -297,7 +313,9 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
     spark = docs.sparkSession
     shared.ship(spark)
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    last = spark.sparkContext.broadcast(Words.of(path).last)  # a bit for each id
+    ends = Words.of(path).last
+    last = spark.sparkContext.broadcast(ends)  # a byte for each id
+    kind = "<u2" if len(ends) <= 1 << 16 and end_id < 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 40
@@ -310,10 +328,10 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
             sizes = np.array([len(x) for x in tokens])
             rows: list[list] = [[] for _ in _NAMES]
             parts = []
-            for pieces in pack(sizes, Index([terms(x, last.value) for x in tokens]), window):
+            for pieces in pack(sizes, Index(*terms(np.concatenate(tokens), sizes, last.value)), window):
                 offset = 0
                 for doc, start, length in pieces:
-                    part = tokens[doc][start : start + length]
+                    part = tokens[doc][start : start + length].astype("<u4")
                     for column, x in zip(rows, (ids[doc], start, length, zlib.crc32(part.tobytes()), int(sizes[doc]), sequence, offset), strict=True):
                         column.append(x)
                     if with_ids:
@@ -327,7 +345,7 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
 
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.frombuffer(raw.as_buffer(), "<u4").copy()
+                own = np.frombuffer(raw.as_buffer(), kind).copy()
                 if ids and (len(ids) >= SHARD_DOCS or held + len(own) > SHARD_TOKENS):
                     yield done()
                     ids, tokens, held = [], [], 0
@@ -339,6 +357,6 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # written, since dealing by ranges looks at the routes first and would tokenise twice
-    table = shared.save(_tokenised(rows, path, end_id), "ids").withColumn("turn", F.xxhash64("doc_id"))
+    table = shared.save(_tokenised(rows, path, end_id, kind), "ids").withColumn("turn", F.xxhash64("doc_id"))
     dealt = table.repartitionByRange(shared.parts(spark), "route", "turn").sortWithinPartitions("route", "turn", "doc_id")
     return dealt.select("doc_id", "ids").mapInArrow(arrays.lean(run), _SCHEMA + (", ids array<long>" if with_ids else ""))

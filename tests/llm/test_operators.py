@@ -290,7 +290,7 @@ def test_packing_round_trip(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 90), max_size=30), st.randoms())
 def test_pack_covers_every_token(sizes, rng):
-    index = packing.Index([np.array([rng.randrange(9) for _ in range(n)], np.uint64) for n in sizes])
+    index = packing.Index(np.array([rng.randrange(9) for _ in range(sum(sizes))], np.uint64), np.array(sizes, np.int64))
     seen = [[] for _ in sizes]
     for pieces in packing.pack(np.array(sizes, np.int64), index, 64):
         total = sum(n for _, _, n in pieces)
@@ -304,7 +304,7 @@ def test_index_against_plain_bm25():
     """Scores of all documents for each seed, and the greedy choice of unused neighbours."""
     rng = random.Random(13)
     words = [[rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 25))] for _ in range(40)]
-    index = packing.Index([np.array([ord(w) for w in x], np.uint64) for x in words])
+    index = packing.Index(np.array([ord(w) for x in words for w in x], np.uint64), np.array([len(x) for x in words]))
     for seed in range(40):
         assert np.allclose(index.scores(seed), brute.bm25(words, seed, packing.K1, packing.B))
     out = packing.pack(np.array([len(x) for x in words]), index, 64)
@@ -320,10 +320,25 @@ def test_index_against_plain_bm25():
 
 def test_terms_of_ids():
     last = np.array([False, True, False, True, True])
-    got = packing.terms(np.array([2, 2, 1, 3, 0, 0, 0, 3, 4, 1]), last).tolist()
     code = lambda *x: sum((y + 1) << (20 * j) for j, y in enumerate(x))
-    assert got == [code(2, 2, 1), code(3), code(0, 0, 0), code(4)]
-    assert packing.terms(np.array([1]), last).tolist() == []
+    docs = [[2, 2, 1, 3, 0, 0, 0, 3, 4, 1], [1], [0, 1], [0, 2, 1], [1], [3, 1]]  # the last of each is the end mark
+    words, length = packing.terms(np.concatenate(docs), np.array([len(x) for x in docs]), last)
+    assert words.tolist() == [code(2, 2, 1), code(3), code(0, 0, 0), code(4), code(0), code(0, 2), code(3)]
+    assert length.tolist() == [4, 0, 1, 1, 0, 1]
+
+
+def test_remembered_parts(monkeypatch):
+    """What a worker forgets and keeps changes no ids."""
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(23)
+    for _ in range(12):
+        text = "the same words again " + " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 7))) for _ in range(40))
+        buf = np.frombuffer(text.encode(), np.uint8)
+        low, starts, ends, whole, _ = packing._parts(buf, np.array([0, len(buf)]))
+        flat, _ = words.tokens(low, starts, ends, whole, packing.arrays.Rolling(low).of(starts, ends))
+        assert flat.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_copies_meet_in_a_sequence(spark):
