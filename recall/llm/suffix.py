@@ -16,7 +16,7 @@ import numpy as np
 from . import arrays
 
 #: Above this many symbols ranges of them are induced at once instead of one symbol after another.
-SYMBOLS = 512
+SYMBOLS = 2048
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -160,11 +160,31 @@ def _induce_ranges(t: np.ndarray, small: np.ndarray, lms: np.ndarray, size: int)
     return np.concatenate(parts)[::-1]
 
 
-def suffix_array(t: np.ndarray, size: int = 256) -> np.ndarray:
-    """Start positions of all suffixes of ``t`` (symbols 0 to size - 1) in lexicographic order."""
+def _doubled(t: np.ndarray) -> np.ndarray:
+    """Suffix order by doubling the compared length."""
+    rank = np.unique(t, return_inverse=True)[1].astype(np.int64) + 1
+    n, step = len(t), 1
+    while True:
+        key = rank << 32
+        key[: n - step] |= rank[step:] if step < n else 0
+        order = np.argsort(key, kind="stable")
+        new = np.zeros(n, np.int64)
+        new[order] = np.cumsum(np.r_[1, (key[order[1:]] != key[order[:-1]]).astype(np.int64)])
+        if new[order[-1]] == n or step >= n:
+            return order
+        rank, step = new, 2 * step
+
+
+def suffix_array(t: np.ndarray, size: int = 256, recurse: bool = True) -> np.ndarray:
+    """Start positions of all suffixes of ``t`` (symbols 0 to size - 1) in lexicographic order.
+
+    Without ``recurse`` reduced texts of more than ``SYMBOLS`` symbols are sorted by doubling.
+    """
     n = len(t)
     if n < 2:
         return np.arange(n)
+    if size > SYMBOLS and not recurse:
+        return _doubled(t)
     t = t.astype(np.int64) if size > SYMBOLS else t
     induce = _induce_ranges if size > SYMBOLS else _induce
     small = _types(t)
@@ -186,7 +206,7 @@ def suffix_array(t: np.ndarray, size: int = 256) -> np.ndarray:
         if name[-1] + 1 < len(lms):
             of = np.zeros(n, np.int64)
             of[order] = name
-            order = lms[suffix_array(of[lms], int(name[-1]) + 1)]
+            order = lms[suffix_array(of[lms], int(name[-1]) + 1, recurse)]
         lms = order
     return induce(t, small, lms, size)
 

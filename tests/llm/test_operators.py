@@ -56,21 +56,23 @@ def test_suffix_array_of_all_small_texts():
         assert suffix_array(t).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
 
 
-@pytest.mark.parametrize("symbols", [512, 1])
+@pytest.mark.parametrize("symbols", [2048, 1])
 def test_suffix_array_by_recursion(monkeypatch, symbols):
     """Large alphabets, runs and repeats, at every depth of the recursion, by symbol and by ranges of symbols."""
     monkeypatch.setattr(suffix, "SYMBOLS", symbols)
     rng = np.random.default_rng(4)
     deep = []
     whole = suffix.suffix_array
-    monkeypatch.setattr(suffix, "suffix_array", lambda t, size=256: (deep.append(size), whole(t, size))[1])
+    monkeypatch.setattr(suffix, "suffix_array", lambda t, size=256, recurse=True: (deep.append(size), whole(t, size, recurse))[1])
     for i in range(120):
         n = int(rng.integers(2, 400))
         t = rng.integers(0, [2, 5, 40, 3000][i % 4], n)
         if i % 3 == 0:
             t = np.concatenate([t, t[: n // 2], np.full(n // 4, t[0]), t])
         own = t.tolist()
-        assert suffix.suffix_array(t, int(t.max()) + 1).tolist() == sorted(range(len(own)), key=lambda j: own[j:])
+        want = sorted(range(len(own)), key=lambda j: own[j:])
+        assert suffix.suffix_array(t, int(t.max()) + 1).tolist() == want
+        assert suffix.suffix_array(t, int(t.max()) + 1, False).tolist() == want
     text = prose(random.Random(1), 2500).encode()
     text += text[:2000]
     got = suffix.suffix_array(np.frombuffer(text, np.uint8))
@@ -105,7 +107,7 @@ def test_dedup_of_planted_passages(spark):
     passage = prose(rng, 60)
     rows = [(i, prose(rng, rng.randint(0, 40)) + passage[rng.randint(0, 9) :] + prose(rng, 20) + "ab" * rng.randint(0, 120)) for i in range(25)]
     check_dedup(spark, [*rows, (None, passage), (99, None), (98, "")])
-    check_dedup(spark, rows, hot_snippets=2)
+    check_dedup(spark, rows, hot_snippets=2, recurse=True)
 
 
 def test_dedup_of_repeated_rows(spark):
