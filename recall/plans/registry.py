@@ -390,7 +390,7 @@ def _folder(spark: SparkSession) -> str:
 
 def _streamed(spark: SparkSession, d: str) -> DataFrame:
     out = _folder(spark)
-    source = events.read_events(spark, d, names="conversations.parquet")
+    source = events.read_table(spark, f"{d}/conversations.parquet")
     events.append_events(source, f"{out}/events", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/events")
 
@@ -410,7 +410,7 @@ def _(spark, d):
 def _(spark, d):
     """Facts of the turns of each micro-batch, written to the store by the stage behind the stream."""
     store = _store(spark, "recall_stream_query")
-    source = events.read_events(spark, d, names="conversations.parquet")
+    source = events.read_table(spark, f"{d}/conversations.parquet")
     events.for_each_batch(source, Bridge(store).session_to_memory, f"{_folder(spark)}/checkpoint").awaitTermination()
     return store.table("memories").select("fact", "user_id")
 

@@ -11,9 +11,20 @@ from pyspark.sql.streaming import StreamingQuery
 EVENT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def read_events(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, files: int = 100, names: str = "*") -> DataFrame:
-    """Events of the files in ``folder`` whose names match a glob, ``files`` in a micro-batch at most."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", names).parquet(folder)
+def read_events(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, files: int | None = 100) -> DataFrame:
+    """Events of the files in ``folder``, ``files`` in a micro-batch at most; without a number, all that are there in one."""
+    stream = spark.readStream.schema(schema)
+    return (stream if files is None else stream.option("maxFilesPerTrigger", files)).parquet(folder)
+
+
+def read_table(spark: SparkSession, path: str, files: int | None = 100) -> DataFrame:
+    """Events of a table that is one file or a folder of files.
+
+    The stream gets a pattern that only this path matches: a plain path must be a folder, and a filter of names looks at
+    the files inside.
+    """
+    path = path.rstrip("/")
+    return read_events(spark, f"{path[:-1]}[{path[-1]}]", files=files)
 
 
 def append_events(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

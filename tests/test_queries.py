@@ -38,6 +38,20 @@ def test_query(spark, duck, name):
     assert rows(df.columns, got) == rows(names, want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["stream_append"])
+def test_stream_of_many_files(spark, tmp_path, name):
+    """The table is a folder of more files than a micro-batch takes, and the turns of a session lie in several."""
+    spark.read.parquet(f"{DATA}/conversations.parquet").repartition(120, "conv_id", "turn").write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    df = registry.QUERIES[name](spark, str(tmp_path))
+    got = df.collect()
+    want = con.execute(registry.ORACLES[name])
+    names = [x[0] for x in want.description]
+    assert sorted(names) == sorted(df.columns)
+    assert rows(df.columns, got) == rows(names, want.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(registry.QUERIES) <= set(entry.queries())
