@@ -408,9 +408,12 @@ def _(spark, d):
 
 @query("stream_to_memory", f"WITH {_TURNS} SELECT fact, 'src0' AS user_id FROM facts")
 def _(spark, d):
-    """Facts of the turns of each micro-batch, written to the store by the stage behind the stream."""
+    """Facts of the turns, written to the store by the stage behind the stream.
+
+    The stage pairs turns of one micro-batch, and the turns of a session may lie in any files, so all files are one batch.
+    """
     store = _store(spark, "recall_stream_query")
-    source = events.read_table(spark, f"{d}/conversations.parquet")
+    source = events.read_table(spark, f"{d}/conversations.parquet", files=None)
     events.for_each_batch(source, Bridge(store).session_to_memory, f"{_folder(spark)}/checkpoint").awaitTermination()
     return store.table("memories").select("fact", "user_id")
 

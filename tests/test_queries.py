@@ -38,7 +38,7 @@ def test_query(spark, duck, name):
     assert rows(df.columns, got) == rows(names, want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["stream_append", "stream_session_counts"])
+@pytest.mark.parametrize("name", ["stream_append", "stream_session_counts", "stream_to_memory"])
 def test_stream_of_many_files(spark, tmp_path, name):
     """The table is a folder of more files than a micro-batch takes, and the turns of a session lie in several."""
     spark.read.parquet(f"{DATA}/conversations.parquet").repartition(120, "conv_id", "turn").write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "conversations.parquet"))
