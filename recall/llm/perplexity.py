@@ -5,11 +5,11 @@ all others share ``RARE`` classes by script block, so an n-gram of ``ORDER`` sym
 texts are counted by Spark: each task sorts and adds up its own n-grams, and the sums meet in one aggregation that is dealt by
 context.  Continuation counts, counts of counts and the totals of contexts are aggregations of that table.
 
-A model keeps, for each language and order, the n-grams from the least count on at which they fit its share of ``ENTRIES``
-(and of ``LEAST`` at least); the mass of those left out goes to the back-off weight of their context, whose total is over all of its n-grams.  The
-driver works out discounts and interpolated probabilities and keeps them in sorted hash arrays: hashes of (language,
-n-gram) with log probabilities, hashes of contexts with log back-off weights, which tasks probe through an index of the
-leading bits.  ``ENTRIES`` is the proven bound of what is sent to every task, for any number of languages.
+Every language has a model of its own with all its n-grams; those counted less than ``LEAST`` get what their context leaves
+to lower orders.  The interpolated probability of each n-gram is worked out by joins from the lowest order up.  As all texts
+are counted, the n-grams of a text are all in the table of the highest order, so a text needs one look-up for each of its
+n-grams.  The most frequent ``ENTRIES`` of that table are sent to every task, in sorted hash arrays that are probed through
+an index of the leading bits; the n-grams of texts that are not among them meet the rest of the table in a join.
 
 The mean log probability of a text gives its perplexity.  For each language the quartiles over all texts that pass the
 base rules set a lower and an upper fence (``FENCE`` interquartile ranges away); texts outside are rejected: above are
@@ -22,21 +22,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrays, shared
 
 BITS, ORDER = 12, 5
 SYMBOLS, RARE = 1 << BITS, 64
-#: Entries of the orders 2 to 5 of all models together (12 bytes each, and at most as many contexts).
-ENTRIES = {2: 100_000, 3: 300_000, 4: 600_000, 5: 1_200_000}
-#: Least counts of n-grams in a model: what a single text has once must not vouch for that text.
+#: N-grams whose log probabilities are sent to every task (12 bytes each, and an index of 4 to 8); the others are joined.
+ENTRIES = 2_000_000
+#: Least counts of n-grams with a probability of their own: what a single text has once must not vouch for that text.
 LEAST = {1: 1, 2: 1, 3: 2, 4: 2, 5: 2}
-#: Languages with a model of their own, the most frequent ones; all others share one.
-MODELS = 32
-#: Names of models: ``=`` and the language, one for the null language, one for all languages without a model of their own.
-NULL, OTHERS = "-", "*"
+#: Languages up to whose number a row for each is sent to every task; with more, Spark chooses the join.
+FEW = 100_000
+#: Steps of log2 probabilities in a bit: sums of whole numbers are exact, in any order.
+UNIT = 1 << 16
+#: N-grams in a row of those that wait for the join.
+TOGETHER = 1 << 16
 #: Distinct n-grams that a task holds before it passes them on (16 bytes each), whatever the number of languages.
 HELD = 1_500_000
 #: Interquartile ranges between the quartiles and the fences.
@@ -125,24 +128,30 @@ def _counted(docs: DataFrame, symbol) -> DataFrame:
     """(model, gram, c) of all texts, the n-grams of one context in one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for name, parts in held.items():
                 key, c = parts[0] if len(parts) == 1 else _added(parts)
                 for i in range(0, len(key), 1 << 17):
                     k = key[i : i + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(k), np.int32)), pa.array([name])).dictionary_decode(), pa.array(k.view(np.int64)), pa.array(c[i : i + (1 << 17)])], ["model", "gram", "c"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), name)), pa.array(k.view(np.int64)), pa.array(c[i : i + (1 << 17)])], ["model", "gram", "c"])
             held.clear()
 
         size = 0
         for batch in batches:
-            models = np.array(batch.column(1).to_pylist(), object).astype(str)
+            models = batch.column(1).to_numpy()
             for a, b, buf, off in arrays.text_pieces(batch, "text"):
                 key, row = _grams(buf, off, symbol.value)
                 names, of = np.unique(models[a:b], return_inverse=True)
-                for i, name in enumerate(names.tolist()):
-                    mine = np.sort(key if len(names) == 1 else key[of[row] == i])
+                if len(names) > 1:
+                    of = of[row]
+                    key = key[np.argsort(of.astype(np.uint16) if len(names) < 1 << 16 else of, kind="stable")]
+                    stop = np.cumsum(np.bincount(of, minlength=len(names)))
+                else:
+                    stop = np.array([len(key)])
+                for name, i, j in zip(names.tolist(), np.r_[0, stop[:-1]].tolist(), stop.tolist(), strict=True):
+                    mine = np.sort(key[i:j])
                     head = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]][: len(mine)])
                     held.setdefault(name, []).append((mine[head], np.diff(np.r_[head, len(mine)])))
                     size += len(head)
@@ -154,17 +163,19 @@ def _counted(docs: DataFrame, symbol) -> DataFrame:
                         size = 0
         yield from flush()
 
-    parts = docs.select("text", "model").mapInArrow(arrays.lean(run), "model string, gram long, c long").withColumn("ctx", F.shiftright("gram", BITS))
+    parts = docs.select("text", "model").mapInArrow(arrays.lean(run), "model long, gram long, c long").withColumn("ctx", F.shiftright("gram", BITS))
     return parts.repartition(shared.parts(docs.sparkSession), "model", "ctx").groupBy("model", "ctx", "gram").agg(F.sum("c").alias("c")).select("model", "gram", "c")
 
 
-def discounts(n: list[int]) -> np.ndarray:
-    """Discount for counts 0, 1, 2 and 3 or more, from the numbers of n-grams with counts 1 to 4."""
-    if min(n) == 0:
-        return np.array([0.0, 0.5, 1.0, 1.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    raw = [i - (i + 1) * y * n[i] / n[i - 1] for i in (1, 2, 3)]
-    return np.array([0.0, *np.clip(raw, [0.05, 0.1, 0.15], [0.95, 1.9, 2.85])])
+def _discounts(level: DataFrame) -> DataFrame:
+    """(model, d1, d2, d3): discounts for counts 1, 2 and 3 or more, from the numbers of n-grams with counts 1 to 4."""
+    n = {i: F.col(f"n{i}") for i in range(1, 5)}
+    y = n[1] / (n[1] + 2 * n[2])
+    some = F.least(*n.values()) > 0
+    raw = [i - (i + 1) * y * n[i + 1] / n[i] for i in (1, 2, 3)]
+    cut = [F.when(some, F.greatest(F.lit(lo), F.least(F.lit(hi), x))).otherwise(F.lit(plain)) for x, lo, hi, plain in zip(raw, (0.05, 0.1, 0.15), (0.95, 1.9, 2.85), (0.5, 1.0, 1.5), strict=True)]
+    counts = level.groupBy("model").agg(*(F.count_if(F.col("c") == i).alias(f"n{i}") for i in n))
+    return counts.select("model", *(x.alias(f"d{i}") for i, x in enumerate(cut, 1)))
 
 
 class Table:
@@ -193,7 +204,10 @@ class Table:
 
 
 class Models:
-    """Interpolated modified Kneser-Ney models of all languages, built from the lowest order up."""
+    """Interpolated modified Kneser-Ney models in memory, pruned ones too, built from the lowest order up.
+
+    For corpora whose n-grams fit; the operator has the same probabilities from joins (``_probabilities``).
+    """
 
     def __init__(self, names: list[str]):
         self.names = {x: i for i, x in enumerate(names)}
@@ -240,39 +254,50 @@ class Models:
         return out
 
 
-def _models(grams: DataFrame) -> Models:
-    """Models of the most frequent languages, and one of all the others together, from the counts of the highest order."""
-    rank = [r["model"] for r in grams.groupBy("model").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "model").limit(MODELS + 1).collect()]
-    if len(rank) > MODELS:
-        rank = rank[:MODELS]
-        name = F.when(F.col("model").isin(rank), F.col("model")).otherwise(OTHERS)
-        grams = shared.save(grams.groupBy(name.alias("model"), "gram").agg(F.sum("c").alias("c")), "grams")
-        rank.append(OTHERS)
-    out = Models(rank)
+def _for_each(df: DataFrame, few: bool) -> DataFrame:
+    """A table with a row for each language, as the other side of a join."""
+    return F.broadcast(df) if few else df
+
+
+def _probabilities(grams: DataFrame, few: bool) -> DataFrame:
+    """(model, gram, c, v) of all n-grams of the highest order; v is -log2 of the interpolated probability in ``UNIT`` steps."""
     levels = {ORDER: grams}
     for n in range(ORDER - 1, 0, -1):  # continuation counts: different symbols before each shorter n-gram
         shorter = levels[n + 1].groupBy("model", F.col("gram").bitwiseAND((1 << BITS * n) - 1).alias("gram")).agg(F.count("*").alias("c"))
         levels[n] = shared.save(shorter, f"grams{n}")
+    lower = None
     for n in range(1, ORDER + 1):
-        step = F.when(F.col("c") < 64, F.col("c")).otherwise(64 + F.floor(8 * F.log2(F.col("c") / 64))).cast("int")
-        sizes: dict[str, dict[int, int]] = {x: {} for x in rank}
-        for r in levels[n].groupBy("model", step.alias("b")).agg(F.count("*").alias("n")).collect():
-            sizes[r["model"]][r["b"]] = r["n"]
-        cut = np.array([discounts([sizes[x].get(i, 0) for i in (1, 2, 3, 4)]) for x in rank]) if rank else np.zeros((1, 4))
-        least = F.lit(None).cast("int")
-        for x in rank:
-            least = F.when(F.col("model") == x, _threshold(sizes[x], LEAST[n], ENTRIES[n] // len(rank) if n > 1 else SYMBOLS)).otherwise(least)
-        kept = levels[n].filter(step >= least).toArrow()
-        best = levels[n].groupBy("model", F.shiftright("gram", BITS).alias("ctx")).agg(F.sum("c").alias("total"), F.max("c").alias("c")).filter(step >= least).toArrow()
-        number = lambda t: np.array([out.names[x] for x in t["model"].to_pylist()], np.int64)
-        if kept.num_rows:
-            gram, ctx = kept["gram"].to_numpy().view(np.uint64), best["ctx"].to_numpy().view(np.uint64)
-            out.add(n, number(kept), gram, kept["c"].to_numpy(), number(best), ctx, best["total"].to_numpy().astype(float), cut)
+        ctx = Window.partitionBy("model", F.shiftright("gram", BITS))
+        cut = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+        own = F.when(F.col("c") >= LEAST[n], (F.col("c") - cut) / F.col("total")).otherwise(0.0)
+        rows = levels[n].withColumn("total", F.sum("c").over(ctx)).join(_for_each(_discounts(levels[n]), few), "model")
+        rows = rows.select("model", "gram", "c", own.alias("own")).withColumn("weight", F.greatest(1 - F.sum("own").over(ctx), F.lit(1e-12)))
+        if lower is None:
+            rows = rows.withColumn("below", F.lit(1 / SYMBOLS))
+        else:
+            rows = rows.withColumn("low", F.col("gram").bitwiseAND((1 << BITS * (n - 1)) - 1)).join(lower, ["model", "low"])
+        rows = rows.select("model", "gram", "c", (F.col("own") + F.col("weight") * F.col("below")).alias("p"))
+        lower = rows.select("model", F.col("gram").alias("low"), F.col("p").alias("below"))
+    out = shared.save(rows.select("model", "gram", "c", F.round(-F.log2("p") * UNIT).cast("int").alias("v")), "probabilities")
     for n in range(1, ORDER):
         shared.forget(levels[n])
     return out
 
 
+def _key(model: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    return arrays.mix(gram.astype(np.uint64) ^ arrays.mix(model.astype(np.uint64)))
+
+
+def _frequent(table: DataFrame) -> tuple[Table, DataFrame | None]:
+    """The most frequent n-grams of the table, all that have one count or none of them, and the rest of it, if there is one."""
+    step = F.when(F.col("c") < 64, F.col("c")).otherwise(64 + F.floor(8 * F.log2(F.col("c") / 64))).cast("int")
+    sizes = {r["b"]: r["n"] for r in table.groupBy(step.alias("b")).agg(F.count("*").alias("n")).collect()}
+    least = _threshold(sizes, 1, ENTRIES)
+    got = table.filter(step >= least).select("model", "gram", "v").toArrow()
+    known = Table(_key(got["model"].to_numpy(), got["gram"].to_numpy()), got["v"].to_numpy())
+    return known, table.filter(step < least) if any(x < least for x in sizes) else None
+
+
 def _threshold(sizes: dict[int, int], lowest: int, room: int) -> int:
     """The least step of counts, ``lowest`` or above, from which on all n-grams fit ``room``."""
     least = 10**6
@@ -284,8 +309,9 @@ def _threshold(sizes: dict[int, int], lowest: int, room: int) -> int:
     return least
 
 
-def _model_name(lang: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), lang), F.lit(NULL))
+def _model(lang: Column) -> Column:
+    """The number of a language's model, a hash; the null language has one too."""
+    return F.xxhash64(F.coalesce(F.concat(F.lit("="), lang), F.lit("-")))
 
 
 def _per_row(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -336,44 +362,58 @@ def _base(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _scored(docs: DataFrame, models, symbol) -> DataFrame:
+def _scored(docs: DataFrame, known, symbol) -> DataFrame:
+    """A row for each text: an id, the base counts, the number of its n-grams and the sum of those known; and rows of the
+    n-grams that are not (id, model, rest)."""
+    together = TOGETHER
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = models.value
+        first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            names = batch.column(1).to_pylist()
-            number = np.array([known.names.get(x, known.names.get(OTHERS, 0)) for x in names], np.int64)
+            models = batch.column(1).to_numpy()
+            salt = arrays.mix(models.astype(np.uint64))
             for a, b, buf, off in arrays.text_pieces(batch, "text"):
                 base = _base(buf, off)
                 key, row = _grams(buf, off, symbol.value)
-                bits = np.zeros(b - a)
+                sums = np.zeros(b - a)
+                rest = []
                 for i in range(0, len(key), 1 << 18):
                     s = slice(i, i + (1 << 18))
-                    bits -= _per_row(known.logp(ORDER, number[a:b][row[s]], key[s]), row[s], b - a)
-                grams = np.bincount(row, minlength=b - a)
-                own = pa.array([x if x in known.names else OTHERS for x in names[a:b]], pa.string())
+                    hit, value = known.value.get(arrays.mix(key[s] ^ salt[a:b][row[s]]))
+                    sums += _per_row(value, row[s], b - a)
+                    if not hit.all():
+                        rest.append(i + np.flatnonzero(~hit))
+                ids = np.arange(first, first + b - a)
+                first += b - a
+                counts = [pa.array(base[c].astype(np.int64)) for c in _COLUMNS]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(2).slice(a, b - a), own, *(pa.array(base[c].astype(np.int64)) for c in _COLUMNS), pa.array(bits / np.maximum(1, grams), mask=grams == 0)],
-                    ["doc_id", "model", *_COLUMNS, "bits"],
+                    [pa.array(ids), batch.column(2).slice(a, b - a), pa.array(models[a:b]), *counts, pa.array(np.bincount(row, minlength=b - a)), pa.array(sums.astype(np.int64)), pa.nulls(b - a, pa.list_(pa.int64()))],
+                    names,
                 )
-
-    schema = "doc_id long, model string, " + ", ".join(f"{c} long" for c in _COLUMNS) + ", bits double"
+                if rest:
+                    at = np.concatenate(rest)
+                    begin = np.union1d(np.flatnonzero(np.r_[True, row[at][1:] != row[at][:-1]]), np.arange(0, len(at), together))
+                    for i in range(0, len(begin), 1024):
+                        part = np.r_[begin, len(at)][i : i + 1025]
+                        own = row[at[part[:-1]]]
+                        lists = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(key[at[part[0] : part[-1]]].view(np.int64)))
+                        none = [pa.nulls(len(own), pa.int64())] * (len(_COLUMNS) + 2)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), none[0], pa.array(models[a:b][own]), *none, lists], names)
+
+    names = ["id", "doc_id", "model", *_COLUMNS, "grams", "v", "rest"]
+    schema = ", ".join(f"{c} long" for c in names[:-1]) + ", rest array<long>"
     return docs.select("text", "model", "doc_id").mapInArrow(arrays.lean(run), schema)
 
 
-def _fences(scored: DataFrame) -> dict[str, tuple[float, float]]:
-    """Lower and upper fence of the bits per symbol of each model, from exact histograms over all texts that pass the base rules."""
-    rows = scored.filter(~F.col("base_failed") & F.col("bits").isNotNull()).groupBy("model", F.floor(F.col("bits") / STEP).alias("b")).agg(F.count("*").alias("n")).collect()
-    by: dict[str, list[tuple[int, int]]] = {}
-    for r in rows:
-        by.setdefault(r["model"], []).append((r["b"], r["n"]))
-    out = {}
-    for name, bins in by.items():
-        at = np.array(sorted(bins))
-        total = np.cumsum(at[:, 1])
-        q1, q3 = (at[np.searchsorted(total, q * total[-1]), 0] * STEP for q in (0.25, 0.75))
-        spread = max(q3 - q1, 0.02)
-        out[name] = (q1 - FENCE * spread, q3 + FENCE * spread)
-    return out
+def _fences(scored: DataFrame) -> DataFrame:
+    """(model, low, high): fences of the bits per symbol of each model, from exact histograms over all texts that pass the base rules."""
+    bins = scored.filter(~F.col("base_failed") & F.col("bits").isNotNull()).groupBy("model", F.floor(F.col("bits") / STEP).alias("b")).agg(F.count("*").alias("n"))
+    every = Window.partitionBy("model")
+    bins = bins.withColumn("up_to", F.sum("n").over(every.orderBy("b"))).withColumn("all", F.sum("n").over(every))
+    quartile = lambda q: F.min(F.when(F.col("up_to") >= q * F.col("all"), F.col("b"))) * F.lit(STEP)
+    at = bins.groupBy("model").agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
+    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(0.02))
+    return at.select("model", (F.col("q1") - FENCE * spread).alias("low"), (F.col("q3") + FENCE * spread).alias("high"))
 
 
 def perplexity_filter(docs: DataFrame) -> DataFrame:
@@ -383,25 +423,36 @@ def perplexity_filter(docs: DataFrame) -> DataFrame:
     has twice or more.  base_failed: under 20 words, or over 30 % repeated words.  kept: base rules passed and
     perplexity (per character) inside the band of the text's language, its fences included.
 
-    Null texts have no words and fail the base rules.  A null language and an empty one are languages of their own.
+    Null texts have no words and fail the base rules.  A null language and an empty one are languages of their own; every
+    language has its own model and fences, so one of very few texts is judged by these alone.
     Texts of fewer than 5 characters have no perplexity (null).  Repeated rows get equal results; they do count in the
     model.  A text is read in one piece, in memory of some 60 times its size.  Other columns are ignored, whatever their
     names; an empty table gives no rows.
     """
     spark = docs.sparkSession
     shared.ship(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _model_name(F.col("lang").cast("string")).alias("model"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _model(F.col("lang").cast("string")).alias("model"))
     symbol = spark.sparkContext.broadcast(_points(docs))
     grams = shared.save(_counted(docs, symbol), "grams")
-    models = spark.sparkContext.broadcast(_models(grams))
+    few = grams.select("model").distinct().count() <= FEW
+    table = _probabilities(grams, few)
     shared.forget(grams)
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    scored = shared.save(_scored(docs, models, symbol).withColumn("base_failed", failed), "scored")
-    models.destroy()
+    frequent, rest = _frequent(table)
+    known = spark.sparkContext.broadcast(frequent)
+    rows = shared.save(_scored(docs, known, symbol), "scored")
+    known.destroy()
     symbol.destroy()
-    fences = _fences(scored)
-    inside = F.lit(False)
-    for name, (low, high) in fences.items():
-        slack = F.lit((high - low) / (2 * FENCE + 1) * FENCE) * (F.sqrt(1 + SHORT / F.greatest("word_chars", F.lit(1))) - 1)
-        inside = inside | ((F.col("model") == name) & F.col("bits").between(F.lit(low) - slack, F.lit(high) + slack))
-    return scored.select("doc_id", *_COLUMNS, "base_failed", F.pow(F.lit(2.0), "bits").alias("perplexity"), (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"))
+    scored = rows.filter(F.col("rest").isNull()).drop("rest")
+    if rest is not None:
+        met = rows.filter(F.col("rest").isNotNull()).select("id", "model", F.explode("rest").alias("gram")).join(rest.select("model", "gram", "v"), ["model", "gram"])
+        sums = shared.save(met.groupBy("id").agg(F.sum("v").alias("more")), "sums")
+        scored = scored.join(sums, "id", "left").withColumn("v", F.col("v") + F.coalesce("more", F.lit(0)))
+    shared.forget(table)
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    bits = F.when(F.col("grams") > 0, F.col("v") / UNIT / F.col("grams"))
+    scored = scored.select("doc_id", "model", *_COLUMNS, failed.alias("base_failed"), bits.alias("bits"))
+    fences = shared.save(_fences(scored), "fences")
+    slack = (F.col("high") - F.col("low")) / (2 * FENCE + 1) * FENCE * (F.sqrt(1 + SHORT / F.greatest("word_chars", F.lit(1))) - 1)
+    inside = F.col("bits").between(F.col("low") - slack, F.col("high") + slack)
+    judged = scored.join(_for_each(fences, few), "model", "left")
+    return judged.select("doc_id", *_COLUMNS, "base_failed", F.pow(F.lit(2.0), "bits").alias("perplexity"), (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"))

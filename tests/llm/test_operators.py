@@ -192,6 +192,24 @@ def test_perplexity_of_odd_languages(spark):
     assert sum(got[1000 + i]["kept"] for i in range(1000)) > 950
 
 
+def test_perplexity_of_all_languages_and_ngrams(spark, monkeypatch):
+    """Forty languages have a model each, with all n-grams: by dictionaries, and the same whatever is sent to the tasks."""
+    rng = random.Random(22)
+    rows = [(i, prose(rng, 30 + i % 50), [None, "", *map(str, range(38))][i % 40]) for i in range(120)] + [(200, "abc", "0"), (201, None, "new")]
+    docs = spark.createDataFrame([*rows, rows[5]], LANG).repartition(3)
+    runs = [sorted(map(str, perplexity.perplexity_filter(docs).collect()))]
+    for name, value in (("ENTRIES", 60), ("TOGETHER", 7), ("FEW", 0)):
+        monkeypatch.setattr(perplexity, name, value)
+    got = perplexity.perplexity_filter(docs).collect()
+    assert sorted(map(str, got)) == runs[0]
+    bits = brute.kneser_ney_bits([*rows, (300, rows[5][1], rows[5][2])])
+    for r in got:
+        want = bits[r["doc_id"]]
+        assert (r["perplexity"] is None) == (want is None)
+        assert want is None or abs(np.log2(r["perplexity"]) - want) < 1e-3
+    assert len(got) == len(rows) + 1
+
+
 def test_pruned_models_sum_to_one():
     rng = np.random.default_rng(0)
     models = perplexity.Models(["=a"])
