@@ -15,10 +15,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+#: Bytes from which on an array has pages of its own, which go back to the system with it.
+MAPPED = 1 << 19
 _libc = None
 with contextlib.suppress(OSError, AttributeError):  # glibc: give large arrays back to the system when freed
     _libc = ctypes.CDLL("libc.so.6")
-    _libc.mallopt(-3, 1 << 19)
+    _libc.mallopt(-3, MAPPED)
 pa.set_memory_pool(pa.system_memory_pool())
 
 Batches = Iterator[pa.RecordBatch]
@@ -30,11 +32,27 @@ def trim() -> None:
         _libc.malloc_trim(0)
 
 
-def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """``run``, and at the end of the task its memory goes back to the system: workers live on and serve later stages."""
+def limits(mapped: int, kept: int) -> None:
+    """Arrays of ``mapped`` bytes have pages of their own; others leave up to ``kept`` bytes to the next ones."""
+    if _libc is not None:
+        _libc.mallopt(-3, mapped)
+        _libc.mallopt(-1, kept)
+
+
+def lean(run: Callable[[Batches], Batches], kept: int = 0) -> Callable[[Batches], Batches]:
+    """``run``, and at the end of the task its memory goes back to the system: workers live on and serve later stages.
+
+    Up to ``kept`` bytes of what is freed meanwhile stay for the next arrays, which then need no new pages.
+    """
 
     def go(batches: Batches) -> Batches:
-        yield from run(batches)
+        if kept:
+            limits(32 << 20, kept)
+        try:
+            yield from run(batches)
+        finally:
+            if kept:
+                limits(MAPPED, 128 << 10)
         trim()
 
     return go

@@ -34,6 +34,8 @@ SHARD_DOCS, SHARD_TOKENS = 1024, 2_000_000
 REMEMBERED = 1_200_000
 #: Parts of words that are encoded at a time.
 TOGETHER = 500
+#: Bytes of freed memory that a task keeps for its next arrays.
+KEPT = 128 << 20
 K1, B = 1.2, 0.75
 #: Neighbours that one query returns at least, if there are so many; a sequence that they don't fill asks again.
 NEIGHBOURS = 32
@@ -56,17 +58,18 @@ def _parts(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     characters, an apostrophe, or both ``<`` and ``|`` (a special token) stay whole, and as they are.
     """
     starts, ends, _ = arrays.words(buf, off)
-    count = np.zeros(len(buf) + 1, np.int32)
-    odd = _WHOLE[buf]
-    sign = (buf[1:] == 0x97) | (buf[1:] == 0xB7)
-    odd[:-1] |= (buf[:-1] == 0xC3) & sign
-    odd[:-1] |= (buf[:-1] == ord("<")) & (buf[1:] == ord("|"))
-    np.cumsum(odd, out=count[1:])
-    whole = count[ends] > count[starts]
-    kind = _KIND[buf]
+    raw = buf.tobytes()
+    odd = np.frombuffer(bytearray(raw.translate(_WHOLE.tobytes())), bool)
+    if b"\xc3\x97" in raw or b"\xc3\xb7" in raw:
+        odd[:-1] |= (buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))
+    if b"<|" in raw:
+        odd[:-1] |= (buf[:-1] == ord("<")) & (buf[1:] == ord("|"))
+    whole = np.zeros(len(starts), bool)
+    whole[np.searchsorted(starts, np.flatnonzero(odd), "right") - 1] = True
+    kind = np.frombuffer(raw.translate(_KIND.tobytes()), np.uint8)
     edge = np.zeros(len(buf), bool)
     edge[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
-    low = arrays.LOWER[buf]
+    low = np.frombuffer(bytearray(raw.translate(arrays.LOWER.tobytes())), np.uint8)
     if whole.any():
         inside = arrays.ragged(starts[whole], (ends - starts)[whole])
         edge[inside] = False
@@ -74,8 +77,11 @@ def _parts(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     edge[starts] = True
     edge &= kind != 0
     first = np.flatnonzero(edge)
-    stop = np.minimum(np.r_[first[1:], len(buf)], ends[np.searchsorted(starts, first, "right") - 1])
-    return low, first, stop, count[stop] > count[first], np.searchsorted(first, off, "left")
+    opens = np.zeros(len(buf), bool)
+    opens[starts] = True
+    word = np.cumsum(opens[first]) - 1
+    stop = np.minimum(np.r_[first[1:], len(buf)], ends[word])
+    return low, first, stop, whole[word], np.searchsorted(first, off, "left")
 
 
 class Words:
@@ -117,27 +123,45 @@ class Words:
         self.begin = np.cumsum(self.size, dtype=np.int64) - self.size
         self.uses = np.ones(len(self.hash), np.int32)
 
-    def encode(self, texts: list[str], whole: list[bool]) -> list:
-        """Ids of each text.  Parts are encoded many at a time: each ends with the one token that ends a word."""
-        out: list = [None] * len(texts)
-        single = [i for i, x in enumerate(whole) if x]
-        plain = [i for i, x in enumerate(whole) if not x]
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for group, got in zip(groups, self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(got.ids, np.uint32)
+    def encode(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts in some order, and where each part's begin and how many they are.  Parts are encoded many at a
+        time: each ends with the one token that ends a word."""
+        plain, single = np.flatnonzero(~whole), [np.flatnonzero(whole)]
+        width = (ends - starts)[plain]
+        stop = np.cumsum(width + 1)
+        joined = np.full(int(stop[-1]) if len(stop) else 0, 32, np.uint8)
+        joined[arrays.ragged(stop - width - 1, width)] = buf[arrays.ragged(starts[plain], width)]
+        cuts = [0, *stop[TOGETHER - 1 :: TOGETHER].tolist()]
+        cuts += [len(joined)] if cuts[-1] < len(joined) else []
+        texts = [joined[i : j - 1].tobytes().decode("utf-8", "replace") for i, j in zip(cuts, cuts[1:], strict=False)]
+        flat, of, sizes = [], [], []
+        for i, got in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids, group = np.array(got.ids, np.uint32), plain[i * TOGETHER : (i + 1) * TOGETHER]
             stops = np.flatnonzero(self.last[ids]) + 1
             if len(stops) != len(group) or stops[-1] != len(ids):
-                single += group
+                single.append(group)
                 continue
-            for i, x in zip(group, np.split(ids, stops[:-1]), strict=True):
-                out[i] = x
-        for i, got in zip(single, self.tokenizer.encode_batch_fast([texts[i] for i in single], add_special_tokens=False), strict=True):
-            out[i] = np.array(got.ids, np.uint32)
-        return out
+            flat.append(ids)
+            of.append(group)
+            sizes.append(np.diff(stops, prepend=0))
+        alone = np.concatenate(single)
+        texts = [buf[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(starts[alone].tolist(), ends[alone].tolist(), strict=True)]
+        lists = [np.array(got.ids, np.uint32) for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size, begin = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        own = np.concatenate([*of, alone])
+        size[own] = np.concatenate([*sizes, np.fromiter(map(len, lists), np.int64, len(lists))])
+        begin[own] = np.cumsum(size[own]) - size[own]
+        return np.concatenate([np.zeros(0, np.uint32), *flat, *lists]), begin, size
 
     def tokens(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all parts, one after another, and the number of ids of each part."""
-        names, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        order = np.argsort(hashes)
+        names = hashes[order]
+        head = np.ones(len(names), bool)
+        head[1:] = names[1:] != names[:-1]
+        at, names = order[head], names[head]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.cumsum(head) - 1
         if len(self.hash) > REMEMBERED:
             self.forget()
         place = np.searchsorted(self.hash, names)
@@ -145,34 +169,51 @@ class Words:
         some = place < len(self.hash)
         new[some] = self.hash[place[some]] != names[some]
         if new.any():
-            raw = buf.tobytes()
             own = at[new]
-            texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
-            lists = self.encode(texts, whole[own].tolist())
-            size = np.fromiter(map(len, lists), np.int32, len(lists))
-            begin = len(self.flat) + np.cumsum(size) - size
-            self.flat = np.concatenate([self.flat, *lists])
-            self.hash = np.insert(self.hash, place[new], names[new])
-            self.begin = np.insert(self.begin, place[new], begin)
-            self.size = np.insert(self.size, place[new], size)
-            self.uses = np.insert(self.uses, place[new], 0)
-            place = np.searchsorted(self.hash, names)
+            flat, begin, size = self.encode(buf, starts[own], ends[own], whole[own])
+            to = place[new] + np.arange(len(own))
+            old = np.ones(len(self.hash) + len(own), bool)
+            old[to] = False
+
+            def put(have: np.ndarray, more: np.ndarray | int) -> np.ndarray:
+                out = np.empty(len(old), have.dtype)
+                out[old], out[to] = have, more
+                return out
+
+            self.hash, self.size, self.uses = put(self.hash, names[new]), put(self.size, size), put(self.uses, 0)
+            self.begin = put(self.begin, len(self.flat) + begin)
+            self.flat = np.concatenate([self.flat, flat])
+            place += np.cumsum(new) - new  # the new ones before each
         self.uses[place] += 1
         size = self.size[place].astype(np.int64)[back]
         return self.flat[arrays.ragged(self.begin[place][back], size)], size
 
 
+def narrow(words: np.ndarray, bits: int) -> np.ndarray:
+    """Words of ``terms`` with their ids in fewer bits, or numbered where these don't do; in the same order."""
+    ids = [words >> np.uint64(20 * j) & np.uint64((1 << 20) - 1) for j in range(3)]
+    if int(words.max()) >> 60 or max(int(x.max()) for x in ids) >> bits:
+        return np.unique(words, return_inverse=True)[1]
+    return ids[0] | ids[1] << np.uint64(bits) | ids[2] << np.uint64(2 * bits)
+
+
 class Index:
     """BM25 inverted index of one shard over the distinct words of its documents."""
 
     def __init__(self, words: np.ndarray, length: np.ndarray):
         """The words of all documents, one after another, and how many each has."""
         n, length = len(length), length.astype(float)
-        doc = np.repeat(np.arange(n), length.astype(np.int64))
-        names, word = np.unique(words, return_inverse=True)
-        pair, tf = np.unique(word.astype(np.int64) * n + doc, return_counts=True)
-        word, doc = pair // n, pair % n
-        df = np.bincount(word, minlength=len(names))
+        bits = np.uint64(max(0, n - 1).bit_length())
+        if len(words) and int(words.max()).bit_length() + int(bits) > 64:
+            words = narrow(words, (64 - int(bits)) // 3)
+        # sorted as one number, word and document
+        key = np.sort(words.astype(np.uint64) << bits | np.repeat(np.arange(n, dtype=np.uint64), length.astype(np.int64)))
+        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        tf = np.diff(np.r_[head, len(key)])
+        doc = (key[head] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        word = key[head] >> bits
+        word = np.cumsum(np.r_[False, word[1:] != word[:-1]][: len(word)])
+        df = np.bincount(word)
         # a word of one document finds nothing, one of most documents has no weight (its idf is not above 0)
         idf = np.log((n - df + 0.5) / (df + 0.5))
         keep = (df[word] > 1) & (idf[word] > 0)
@@ -181,15 +222,20 @@ class Index:
         self.n = n
         self.doc = doc
         self.weight = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / mean))
-        self.begin = np.searchsorted(word, np.arange(len(names) + 1))
-        order = np.argsort(doc, kind="stable")
-        self.words = word[order]
+        self.begin = np.searchsorted(word, np.arange(len(df) + 1))
+        order = np.argsort(doc.astype(np.uint16) if n <= 1 << 16 else doc, kind="stable")
+        word = word[order]
+        self.first, self.size = self.begin[word], self.begin[word + 1] - self.begin[word]
         self.of = np.searchsorted(doc[order], np.arange(n + 1))
+        self.turn = np.arange(len(word))
 
     def scores(self, seed: int) -> np.ndarray:
-        own = self.words[self.of[seed] : self.of[seed + 1]]
-        at = arrays.ragged(self.begin[own], self.begin[own + 1] - self.begin[own])
-        return np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
+        own = slice(self.of[seed], self.of[seed + 1])
+        first, size = self.first[own], self.size[own]
+        stop = np.cumsum(size)
+        at = np.repeat(first - stop + size, size)
+        at += self.turn[: len(at)]
+        return np.bincount(self.doc.take(at), weights=self.weight.take(at), minlength=self.n)
 
 
 def pack(sizes: np.ndarray, index: Index, window: int) -> list[list[tuple[int, int, int]]]:
@@ -261,15 +307,16 @@ def terms(ids: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> tuple[np.ndar
     marks = np.cumsum(sizes) - 1
     stops = last[ids]
     stops[marks] = True
-    begin = np.r_[0, np.flatnonzero(stops) + 1][:-1]
-    end = np.zeros(len(ids), bool)
-    end[marks] = True
-    begin = begin[~end[begin]]
+    stop = np.flatnonzero(stops)
+    begin = np.r_[0, stop + 1][:-1]
+    size = stop - begin + 1
+    size[np.searchsorted(stop, marks)] -= 1
+    keep = size > 0
+    begin, size = begin[keep], size[keep]
     out = ids[begin].astype(np.uint64) + np.uint64(1)
     go = np.arange(len(begin))
     for j in (1, 2):
-        go = go[~stops[begin[go] + j - 1]]
-        go = go[~end[begin[go] + j]]
+        go = go[size[go] > j]
         out[go] |= (ids[begin[go] + j].astype(np.uint64) + np.uint64(1)) << np.uint64(20 * j)
     return out, np.diff(np.searchsorted(begin, np.r_[0, marks + 1]))
 
@@ -295,7 +342,7 @@ def _tokenised(rows: DataFrame, path: str, end_id: int, kind: str) -> DataFrame:
                 ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(stop), pa.py_buffer(every)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(route), batch.column(0).slice(a, b - a), ids], ["route", "doc_id", "ids"])
 
-    return rows.mapInArrow(arrays.lean(run), "route long, doc_id long, ids binary")
+    return rows.mapInArrow(arrays.lean(run, KEPT), "route long, doc_id long, ids binary")
 
 
 def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -359,4 +406,4 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1, tokeniz
     # written, since dealing by ranges looks at the routes first and would tokenise twice
     table = shared.save(_tokenised(rows, path, end_id, kind), "ids").withColumn("turn", F.xxhash64("doc_id"))
     dealt = table.repartitionByRange(shared.parts(spark), "route", "turn").sortWithinPartitions("route", "turn", "doc_id")
-    return dealt.select("doc_id", "ids").mapInArrow(arrays.lean(run), _SCHEMA + (", ids array<long>" if with_ids else ""))
+    return dealt.select("doc_id", "ids").mapInArrow(arrays.lean(run, KEPT), _SCHEMA + (", ids array<long>" if with_ids else ""))

@@ -338,6 +338,19 @@ def test_index_against_plain_bm25():
         opened |= {d for d, _, _ in pieces}
 
 
+def test_index_of_wide_words():
+    """Words of three ids, also of ids that don't fit beside the number of a document, score like small numbers in their order."""
+    rng = np.random.default_rng(3)
+    for ids in (49_000, 1_000_000):
+        three = rng.integers(1, ids, (60, 3)).astype(np.uint64)
+        words = three[:, 0] | three[:, 1] << np.uint64(20) | three[:, 2] << np.uint64(40)
+        words, length = words[rng.integers(0, 60, 1000)], np.full(40, 25)
+        index, plain = packing.Index(words, length), packing.Index(np.unique(words, return_inverse=True)[1], length)
+        assert (np.argsort(packing.narrow(words, 18), kind="stable") == np.argsort(words, kind="stable")).all()
+        for seed in range(40):
+            assert (index.scores(seed) == plain.scores(seed)).all() and index.scores(seed).any()
+
+
 def test_terms_of_ids():
     last = np.array([False, True, False, True, True])
     code = lambda *x: sum((y + 1) << (20 * j) for j, y in enumerate(x))
