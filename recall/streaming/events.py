@@ -11,20 +11,24 @@ from pyspark.sql.streaming import StreamingQuery
 EVENT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def read_events(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, files: int | None = 100) -> DataFrame:
-    """Events of the files in ``folder``, ``files`` in a micro-batch at most; without a number, all that are there in one."""
+def read_events(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, files: int | None = 100, base: str | None = None) -> DataFrame:
+    """Events of the files in ``folder``, ``files`` in a micro-batch at most; without a number, all that are there in one.
+
+    ``base`` is the folder below which names like ``role=user`` are columns; a pattern needs it, a plain folder is its own.
+    """
     stream = spark.readStream.schema(schema)
+    stream = stream if base is None else stream.option("basePath", base)
     return (stream if files is None else stream.option("maxFilesPerTrigger", files)).parquet(folder)
 
 
 def read_table(spark: SparkSession, path: str, files: int | None = 100) -> DataFrame:
-    """Events of a table that is one file or a folder of files.
+    """Events of a table that is one file or a folder of files, which may lie in folders by column.
 
     The stream gets a pattern that only this path matches: a plain path must be a folder, and a filter of names looks at
-    the files inside.
+    the files inside.  The base is the folder above, as a file can't be one.
     """
     path = path.rstrip("/")
-    return read_events(spark, f"{path[:-1]}[{path[-1]}]", files=files)
+    return read_events(spark, f"{path[:-1]}[{path[-1]}]", files=files, base=path[: path.rfind("/") + 1] or ".")
 
 
 def append_events(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

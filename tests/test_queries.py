@@ -52,6 +52,21 @@ def test_stream_of_many_files(spark, tmp_path, name):
     assert rows(df.columns, got) == rows(names, want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["stream_append", "stream_session_counts", "stream_to_memory"])
+def test_stream_of_folders_by_column(spark, tmp_path, name):
+    """The table's files lie in folders by role, more than a micro-batch takes, so a micro-batch has not all roles."""
+    spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").repartition(120, "conv_id", "turn").write.partitionBy("role").parquet(str(tmp_path / "conversations.parquet"))
+    assert len(glob.glob(f"{tmp_path}/conversations.parquet/role=*/*.parquet")) > 100
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*/*.parquet', hive_partitioning = true)")
+    df = registry.QUERIES[name](spark, str(tmp_path))
+    got = df.collect()
+    want = con.execute(registry.ORACLES[name])
+    names = [x[0] for x in want.description]
+    assert sorted(names) == sorted(df.columns)
+    assert rows(df.columns, got) == rows(names, want.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(registry.QUERIES) <= set(entry.queries())
