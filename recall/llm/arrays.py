@@ -26,6 +26,21 @@ pa.set_memory_pool(pa.system_memory_pool())
 Batches = Iterator[pa.RecordBatch]
 
 
+_settled = False
+
+
+def settle() -> None:
+    """Once a process: what is there now (modules) is no garbage, and later collections need not look through it.
+
+    They take 70 ms with it, and a worker collects twice a task (Spark's daemon does too).
+    """
+    global _settled
+    if not _settled:
+        gc.collect()
+        gc.freeze()
+        _settled = True
+
+
 def trim() -> None:
     gc.collect()
     if _libc is not None:
@@ -46,6 +61,7 @@ def lean(run: Callable[[Batches], Batches], kept: int = 0) -> Callable[[Batches]
     """
 
     def go(batches: Batches) -> Batches:
+        settle()
         if kept:
             limits(32 << 20, kept)
         try:

@@ -122,8 +122,8 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
 
     def flush(held: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
         frag, token, sig, n, often = (np.concatenate(x) for x in zip(*held, strict=True))
-        # entries of hot shingles, each set once, pass by the fragments
-        spread = (frag[often].astype(np.int64) << 32) + token[often], sig[often], n[often].astype(np.int64)
+        # entries of hot shingles, each set once, pass by the fragments; their tokens are no other shingle's
+        spread = (1 << 62) + (frag[often].astype(np.int64) << 32) + token[often], sig[often], n[often].astype(np.int64)
         by = np.lexsort((spread[1], spread[0]))
         by = by[np.r_[True, (spread[0][by][1:] != spread[0][by][:-1]) | (spread[1][by][1:] != spread[1][by][:-1])][: len(by)]]
         spread = tuple(x[by] for x in spread)
@@ -184,9 +184,9 @@ def _prefixes(docs: DataFrame, k: int, percent: int, fragments: int, freq) -> Da
 
 
 def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In one fragment: the shingles that two or more different sets have; documents' rows pass through."""
+    """In one fragment: the shingles that two or more different sets have, with the number m of these; documents' rows pass through."""
     heads: dict[int, list] = {}
-    names = ["doc_id", "key", "sig", "n", "token", "often"]
+    names = ["doc_id", "key", "sig", "n", "token", "often", "m"]
     for batch in batches:
         for frag, blob, ids, keys, ns, sigs, tokens, owners, sizes in zip(*(batch.column(i) for i in range(9)), strict=True):
             if blob.is_valid:
@@ -196,10 +196,10 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 token = np.frombuffer(raw, "<u4", -1, 4 + m * _ENTRY.itemsize)
                 heads.setdefault(frag.as_py(), []).append((head, token))
             else:
-                yield pa.RecordBatch.from_arrays([ids.values, keys.values, sigs.values, ns.values, pa.nulls(len(ids.values), pa.int64()), pa.array(np.zeros(len(ids.values), bool))], names)
+                yield pa.RecordBatch.from_arrays([ids.values, keys.values, sigs.values, ns.values, pa.nulls(len(ids.values), pa.int64()), pa.array(np.zeros(len(ids.values), bool)), pa.nulls(len(ids.values), pa.int64())], names)
                 if len(tokens.values):
                     none = pa.nulls(len(tokens.values), pa.int64())
-                    yield pa.RecordBatch.from_arrays([none, none, owners.values, sizes.values, tokens.values, pa.array(np.ones(len(none), bool))], names)
+                    yield pa.RecordBatch.from_arrays([none, none, owners.values, sizes.values, tokens.values, pa.array(np.ones(len(none), bool)), none], names)
     for frag, got in heads.items():
         head = np.concatenate([x for x, _ in got])
         token = np.concatenate([x for _, x in got])
@@ -212,10 +212,12 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         same = np.r_[False, token[1:] == token[:-1]]
         keep = same | np.r_[same[1:], False]
         token, sig, n = token[keep], sig[keep], n[keep]
+        _, at, m = np.unique(token, return_inverse=True, return_counts=True)
+        m = m[at]
         for i in range(0, len(token), 1 << 17):
             s = slice(i, i + (1 << 17))
             none = pa.nulls(len(sig[s]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32)), pa.array(np.zeros(len(none), bool))], names)
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(sig[s]), pa.array(n[s].astype(np.int64)), pa.array(token[s].astype(np.int64) + (frag << 32)), pa.array(np.zeros(len(none), bool)), pa.array(m[s].astype(np.int64))], names)
 
 
 def _level(n: int, part: int) -> int:
@@ -388,27 +390,29 @@ def _classes(docs: DataFrame, k: int, percent: int, fragments: int | None, round
     fragments = fragments or shared.parts(spark)
     freq = spark.sparkContext.broadcast(_frequent(docs, k))
     pieces = _prefixes(docs, k, percent, fragments, freq)
-    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(arrays.lean(_shared_shingles), "doc_id long, key long, sig long, n long, token long, often boolean"), "shingles")
+    found = shared.save(pieces.repartitionById(fragments, "frag").mapInArrow(arrays.lean(_shared_shingles), "doc_id long, key long, sig long, n long, token long, often boolean, m long"), "shingles")
     freq.destroy()
     rows = found.filter(F.col("token").isNull()).select("doc_id", "key", "sig", "n")
-    tokens = found.filter(F.col("token").isNotNull() & ~F.col("often")).select("token", "sig", "n")
-    tokens = tokens.union(found.filter("often").select("token", "sig", "n").distinct())
     nodes = shared.save(rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sig").agg(F.min("doc_id").alias("least")), "nodes")
+    # at first every set is a component of its own, and all sets of a shingle that isn't hot have met in its fragment
+    often = found.filter("often").select("token", "sig", "n").distinct()
+    often = shared.save(often.join(often.groupBy("token").agg(F.count("*").alias("m")).filter(F.col("m") > 1), "token"), "often")
+    live = found.filter(F.col("token").isNotNull() & ~F.col("often")).select("token", "sig", "n", "m").union(often.select("token", "sig", "n", "m"))
+    live = live.select("token", "sig", "n", F.col("sig").alias("comp"), "m", F.col("m").alias("sq"))
     labels = None
     links: list[DataFrame] = []
     tried: list[DataFrame] = []
-    spent: list[DataFrame] = []
-    now = tokens.withColumn("comp", F.col("sig"))
+    spent: list[DataFrame] = [often]
     for turn in range(rounds + 1):
-        per = now.groupBy("token", "comp").agg(F.count("*").alias("s")).groupBy("token")
-        per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"))
-        per = shared.save(per.filter(F.col("comps") > 1).select("token", "m", "sq"), "buckets")
-        spent.append(per)
-        cross, hard, members = per.agg(F.count("*"), F.sum(F.when(F.col("m") > SMALL, (F.col("m") * F.col("m") - F.col("sq")) / 2).otherwise(0)), F.sum("m")).first()
-        if not cross:
+        if turn:
+            per = now.groupBy("token", "comp").agg(F.count("*").alias("s")).groupBy("token")
+            per = per.agg(F.count("*").alias("comps"), F.sum("s").alias("m"), F.sum(F.col("s") * F.col("s")).alias("sq"))
+            live = shared.save(now.join(per.filter(F.col("comps") > 1).select("token", "m", "sq"), "token"), "live")
+            spent.append(live)
+        # each of the m rows of a shingle counts its part of the pairs that cross components
+        members, hard = live.agg(F.count("*"), F.sum(F.when(F.col("m") > SMALL, (F.col("m") - F.col("sq") / F.col("m")) / 2).otherwise(0))).first()
+        if not members:
             break
-        live = shared.save(now.join(per.select("token", "m"), "token"), "live")
-        spent.append(live)
         last = hard <= 4 * members or turn == rounds
         pairs = _across(live, percent, None if last else TOP)
         for old in tried:

@@ -22,10 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import session
+from . import arrays
 
 #: Least and largest number of 64-bit words of the filters of ``bloom``; between them they have 16 bits for each id.
 BLOOM_WORDS = 1 << 12, 1 << 22
 
+#: Edges up to which one task finds the components (16 bytes each); those of more are found by steps over all tasks.
+EDGES = 1 << 18
+
 _own: dict[str, str] = {}
 _scopes: list[list[DataFrame]] = []
 
@@ -93,11 +97,25 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _least(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of edges ``a``-``b`` and the least node that each can reach."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    low = np.arange(len(nodes))
+    while True:
+        one, two = low[x], low[y]
+        if (one == two).all():
+            return nodes, nodes[low]
+        np.minimum.at(low, np.maximum(one, two), np.minimum(one, two))
+        while (low[low] != low).any():
+            low = low[low]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph with columns ``a``, ``b``; the component is its least node.
 
-    Alternating large-star and small-star steps: every step replaces edges by edges to a smaller
-    neighbour, so a path of length n takes O(log n) steps and a star one.  A step is a min per node and a
+    Up to ``EDGES`` distinct edges are read by one task.  More take alternating large-star and small-star steps: every step
+    replaces edges by edges to a smaller neighbour, so a path of length n takes O(log n) steps and a star one.  A step is a min per node and a
     join; no node's neighbourhood is ever gathered.  Edges with a null or equal ends are ignored.
     """
     def step(pairs: DataFrame, large: bool) -> DataFrame:
@@ -110,7 +128,15 @@ def components(edges: DataFrame) -> DataFrame:
             out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         return out.filter(F.col("a") != F.col("b")).distinct()
 
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[x.to_numpy() for x in batch.columns] for batch in batches]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _least(*map(np.concatenate, zip(*held, strict=True)))], ["node", "component"])
+
     now = save(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if now.count() <= EDGES:
+        ship(now.sparkSession)
+        return now.coalesce(1).mapInArrow(arrays.lean(together), "node long, component long")
     mark = None
     while True:
         nxt = save(step(step(now, True), False), "edges")

@@ -18,6 +18,7 @@ from recall.llm.decontaminate import benchmark_matches, without_benchmark
 from recall.llm import language_id as language_id_module
 from recall.llm.language_id import language_id
 from recall.llm.ordinal import quality_classifier
+from recall.llm import arrays, shared
 from recall.llm.shared import components
 from recall.llm.suffix import common_prefixes, suffix_array
 
@@ -151,6 +152,65 @@ def test_connected_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
 
 
+@pytest.mark.parametrize("edges", [shared.EDGES, 0])
+def test_connected_components_together_and_by_steps(spark, monkeypatch, edges):
+    """The same components by one task and by steps; few edges are written once and take no steps."""
+    monkeypatch.setattr(shared, "EDGES", edges)
+    written, save = [], shared.save
+    monkeypatch.setattr(shared, "save", lambda df, name: written.append(name) or save(df, name))
+    rng = random.Random(3)
+    ids = [rng.randrange(-(1 << 62), 1 << 62) for _ in range(120)]
+    rows = [tuple(rng.sample(ids, 2)) for _ in range(70)] + [(ids[0], x) for x in ids[80:]] * 2 + [(ids[1], ids[1])] + list(zip(ids[40:60], ids[41:61], strict=True))
+    low = {x: x for x in ids}
+    while any(low[a] != low[b] for a, b in rows):
+        for a, b in rows:
+            low[a] = low[b] = min(low[a], low[b])
+    got = sorted(map(tuple, components(spark.createDataFrame([*rows, (None, ids[0])], "a long, b long").repartition(3)).distinct().collect()))
+    assert got == sorted((x, low[x]) for x in {x for a, b in rows if a != b for x in (a, b)})
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert (len(written) == 2) == (edges > 0)
+
+
+def test_buckets_of_the_first_turn(spark, monkeypatch):
+    """The first turn has the sizes of its buckets from the fragments: of hot shingles only entries are written, of others nothing."""
+    monkeypatch.setattr(ngram_jaccard, "HOT", 2)
+    written, save = {}, shared.save
+
+    def kept(df, name):
+        out = save(df, name)
+        written.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(shared, "save", kept)
+    monkeypatch.setattr(shared, "forget", lambda df: None)
+    rng = random.Random(8)
+    w = prose(rng, 40).split()
+    rows = [(i, " ".join([*w, f"end{i}"])) for i in range(30)] + [(100 + i, prose(rng, 5) + " " + " ".join(w[:6])) for i in range(30)]
+    rows += [(200 + i, "a rare run of words that only two texts have " + str(i)) for i in range(2)]
+    check_components(spark, rows)
+    sizes = written["shingles"].filter("m IS NOT NULL").groupBy("token").agg(F.count("*").alias("c"), F.min("m").alias("least"), F.max("m").alias("most")).collect()
+    assert sizes and all(r["c"] == r["least"] == r["most"] >= 2 for r in sizes)
+    hot = written["often"].groupBy("token").agg(F.count("*").alias("c"), F.min("m").alias("least"), F.max("m").alias("most")).collect()
+    assert hot and all(r["c"] == r["least"] == r["most"] >= 2 for r in hot)
+    assert not {r["token"] for r in sizes} & {r["token"] for r in hot}
+    assert "buckets" not in written
+
+
+def test_workers_collect_little(spark):
+    """A task's collections pass by the modules of its worker."""
+
+    def run(batches):
+        import gc
+
+        import pyarrow as pa
+
+        list(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([gc.get_freeze_count()])], ["n"])
+
+    shared.ship(spark)
+    assert spark.range(1).repartition(1).mapInArrow(arrays.lean(run), "n long").first()["n"] > 10_000
+
+
 # ---- the others
 
 def test_base_counts_and_perplexity(spark):
